@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from catalogue import catalogue, table
 from plumbline.operators import evaluate, model
 from plumbline.operators.sample import split_train_test
-from plumbline.operators.stages import DummyEncoder
+from plumbline.operators.stages import DummyEncoder, StandardScale
 from plumbline.plans.score import batch_score as score_table
 from plumbline.plans.train import compare_models
 
@@ -109,7 +109,8 @@ def document_features(spark: SparkSession, folder: str) -> DataFrame:
         F.size(F.array_distinct(words)).cast("double").alias("distinct_words"),
         "lang",
     )
-    return DummyEncoder(inputCols=["lang"]).fit(table(spark, folder, "documents")).transform(documents)
+    encoded = DummyEncoder(inputCols=["lang"]).fit(table(spark, folder, "documents")).transform(documents)
+    return StandardScale(inputCols=["chars", "words", "distinct_words"]).fit(encoded).transform(encoded)
 
 
 def feature_names(df: DataFrame) -> list[str]:

@@ -199,16 +199,16 @@ q AS (
     v >= q1 - (q3 - q1) * 1.5 AND v <= q3 + (q3 - q1) * 1.5 AS inside
   FROM long JOIN q ON q."column" = long."column"
 )
-SELECT "column", round(min(v) FILTER (inside), 6) AS whisker_low, round(min(q1), 6) AS q1,
-  round(min(median), 6) AS median, round(min(q3), 6) AS q3,
-  round(max(v) FILTER (inside), 6) AS whisker_high, count(*) FILTER (NOT inside) AS n_fliers
+SELECT "column", round(min(v) FILTER (inside), 3) AS whisker_low, round(min(q1), 3) AS q1,
+  round(min(median), 3) AS median, round(min(q3), 3) AS q3,
+  round(max(v) FILTER (inside), 3) AS whisker_high, count(*) FILTER (NOT inside) AS n_fliers
 FROM f GROUP BY "column"
 """)
 def box_summary(spark: SparkSession, folder: str) -> DataFrame:
     price = F.col("l_extendedprice")
     lines = table(spark, folder, "lineitem").select(*BOXED, (price * price).alias("l_markup"))
     found = profile.box_summary(lines, [*BOXED, "l_markup"])
-    return rounded(found, 6, "whisker_low", "q1", "median", "q3", "whisker_high")
+    return rounded(found, 3, "whisker_low", "q1", "median", "q3", "whisker_high")
 
 
 @catalogue.add("""

@@ -6,6 +6,7 @@ import math
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def chi2_tail(stat: float, dof: int) -> float:
@@ -65,11 +66,11 @@ def student_two_sided(t: float, dof: float) -> float:
     return 1.0 - front * _beta_fraction(b, a, 1.0 - x) / b
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi2_p(stat: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([None if pd.isna(s) else chi2_tail(s, int(d)) for s, d in zip(stat, dof)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def student_p(t: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([None if pd.isna(s) else student_two_sided(s, d) for s, d in zip(t, dof)], dtype="float64")

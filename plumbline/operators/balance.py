@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 from typing import Any
 
 from pyspark.ml.feature import Bucketizer
@@ -43,12 +42,9 @@ def class_counts(df: DataFrame, label: str) -> dict[Any, int]:
     return {r[label]: r["n"] for r in df.groupBy(label).agg(F.count("*").alias("n")).collect()}
 
 
-def _sum(terms: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a + b, terms)
-
-
-def _squared_distance(left: Sequence[Column], right: Sequence[Column]) -> Column:
-    return _sum([(a - b) * (a - b) for a, b in zip(left, right)])
+def _squared_distance(left: Sequence[str], right: Sequence[str]) -> str:
+    """SQL text: wide feature lists parse in one step instead of one call per operation."""
+    return " + ".join(f"({a} - {b}) * ({a} - {b})" for a, b in zip(left, right))
 
 
 def _direction(spread: Sequence[float]) -> list[float]:
@@ -73,10 +69,11 @@ def _cells(df: DataFrame, splits: Sequence[float], columns: dict[str, str]) -> D
 
 
 def _vector_id(features: Sequence[str]) -> Column:
-    complete = [F.col(f"`{f}`").cast("string") for f in features]
-    missing = reduce(lambda a, b: a | b, [c.isNull() for c in complete])
-    return F.when(missing, F.raise_error("a feature is missing; impute or drop first").cast("string")).otherwise(
-        F.md5(F.concat_ws("|", *complete))
+    text = ", ".join(f"CAST(`{f}` AS STRING)" for f in features)
+    numbers = ", ".join(f"nanvl(CAST(`{f}` AS DOUBLE), NULL)" for f in features)
+    complete = F.size(F.array_compact(F.expr(f"array({numbers})"))) == len(features)
+    return F.when(complete, F.md5(F.expr(f"concat_ws('|', {text})"))).otherwise(
+        F.raise_error("a feature is missing; impute or drop first").cast("string")
     )
 
 
@@ -90,7 +87,7 @@ def distinct_vectors(points: DataFrame, features: Sequence[str], key: str) -> Da
 
 
 def nearest_vectors(
-    vectors: DataFrame, n_features: int, k: int, direction: Sequence[float], cell_rows: int = CELL_ROWS
+    vectors: DataFrame, n_features: int, k: int, cell_rows: int = CELL_ROWS
 ) -> DataFrame:
     """Neighbours of every vector that has fewer than ``k`` other copies.
 
@@ -98,61 +95,62 @@ def nearest_vectors(
     copies take the first ranks and get no row.
     """
     names = [f"f{i}" for i in range(n_features)]
-    here = [F.col(n) for n in names]
-    placed = vectors.withColumn("p", _sum([F.lit(w) * c for w, c in zip(direction, here)]))
+    shape = vectors.agg(F.count("*").alias("n"), *[F.stddev_pop(n).alias(n) for n in names]).first()
+    direction = _direction([shape[n] or 0.0 for n in names])
+    projection = " + ".join(f"{w!r}D * {n}" for w, n in zip(direction, names))
+    placed = vectors.withColumn("p", F.expr(projection))
 
-    n_cells = min(MAX_CELLS, -(-vectors.count() // cell_rows))
+    n_cells = min(MAX_CELLS, -(-shape["n"] // cell_rows))
     splits = [-math.inf, math.inf]
     if n_cells > 1:
         probs = [i / n_cells for i in range(1, n_cells)]
-        cuts = placed.agg(
-            F.percentile_approx("p", F.array(*map(F.lit, probs)), F.lit(max(10_000, 10 * n_cells))).alias("q")
-        ).first()["q"]
+        accuracy = max(10_000, 10 * n_cells)
+        cuts = placed.agg(F.expr(f"percentile_approx(p, array({', '.join(f'{q!r}D' for q in probs)}), {accuracy})")).first()[0]
         splits = [-math.inf, *sorted(set(cuts)), math.inf]
     placed = _cells(placed, splits, {"p": "cell"})
 
-    near = Window.partitionBy("cell").orderBy("p", "vid")
-    packed = F.struct(*names)
-    beside = [shift(packed, j).over(near) for j in range(1, k + 1) for shift in (F.lag, F.lead)]
-    gaps = [_squared_distance(here, [b.getField(n) for n in names]) for b in beside]
-    bounded = placed.withColumns({
-        "gaps": F.array_sort(F.filter(F.array(*gaps), lambda g: g.isNotNull())),
-        "needed": F.lit(k) - (F.col("copies") - 1),
-    })
-    reach = F.sqrt("reach2") * (1 + 1e-9) + 1e-12 * F.sqrt(_sum([c * c for c in here]))
-    unbounded = F.col("reach2").isNull()
-    queries = (
-        bounded.filter(F.col("needed") > 0)
-        .withColumn("reach2", F.get("gaps", (F.col("needed") - 1).cast("int")))
-        .select(
+    steps = [(shift, j) for j in range(1, k + 1) for shift in ("lag", "lead")]
+    beside = {f"{shift}{j}": f"{shift}(struct({', '.join(names)}), {j}) OVER near" for shift, j in steps}
+    gaps = ", ".join(_squared_distance(names, [f"{b}.{n}" for n in names]) for b in beside)
+    norm = " + ".join(f"{n} * {n}" for n in names)
+    bounded = (
+        placed.selectExpr("*", *[
+            f"{text.replace('near', '(PARTITION BY cell ORDER BY p, vid)')} AS {b}" for b, text in beside.items()
+        ])
+        .selectExpr(
             "vid",
             "copies",
-            "needed",
-            "reach2",
-            *[F.col(n).alias(f"q{i}") for i, n in enumerate(names)],
-            F.when(unbounded, F.lit(-math.inf)).otherwise(F.col("p") - reach).alias("low"),
-            F.when(unbounded, F.lit(math.inf)).otherwise(F.col("p") + reach).alias("high"),
+            "p",
+            *[f"{n} AS q{i}" for i, n in enumerate(names)],
+            f"{k} - (copies - 1) AS needed",
+            f"array_sort(filter(array({gaps}), g -> g IS NOT NULL)) AS gaps",
+            f"sqrt({norm}) AS norm",
         )
+        .filter("needed > 0")
+        .withColumn("reach2", F.expr("get(gaps, int(needed - 1))"))
+    )
+    reach = "sqrt(reach2) * (1 + 1e-9D) + 1e-12D * norm"
+    queries = bounded.selectExpr(
+        "vid",
+        "copies",
+        "needed",
+        "reach2",
+        *[f"q{i}" for i in range(n_features)],
+        f"coalesce(p - ({reach}), double('-infinity')) AS low",
+        f"coalesce(p + ({reach}), double('infinity')) AS high",
     )
     visits = _cells(queries, splits, {"low": "cell_low", "high": "cell_high"}).withColumn(
         "cell", F.explode(F.sequence("cell_low", "cell_high"))
     )
-    others = placed.select(
-        "cell",
-        F.col("vid").alias("other"),
-        F.col("vkey").alias("other_key"),
-        F.col("copies").alias("other_copies"),
-        F.col("p").alias("other_p"),
-        *names,
+    others = placed.selectExpr(
+        "cell", "vid AS other", "vkey AS other_key", "copies AS other_copies", "p AS other_p", *names
     )
-    distance = _squared_distance([F.col(f"q{i}") for i in range(n_features)], here)
-    within = (
-        (visits["vid"] != others["other"])
-        & F.col("other_p").between(F.col("low"), F.col("high"))
-        & (F.col("reach2").isNull() | (distance <= F.col("reach2")))
+    distance = _squared_distance([f"q{i}" for i in range(n_features)], names)
+    within = F.expr(
+        f"vid <> other AND other_p BETWEEN low AND high AND (reach2 IS NULL OR {distance} <= reach2)"
     )
-    found = visits.join(others, (visits["cell"] == others["cell"]) & within).select(
-        "vid", "copies", "needed", "other_key", "other_copies", distance.alias("d2"), *names
+    found = visits.join(others, "cell").filter(within).selectExpr(
+        "vid", "copies", "needed", "other_key", "other_copies", f"{distance} AS d2", *names
     )
     order = Window.partitionBy("vid").orderBy("d2", "other_key")
     ranked = (
@@ -162,12 +160,10 @@ def nearest_vectors(
         .withColumn("first", F.col("upto") - F.col("other_copies"))
         .filter(F.col("first") < F.col("needed"))
     )
-    last = F.least(F.col("upto"), F.col("needed")) - 1
-    ranks = F.sequence(F.col("copies") - 1 + F.col("first"), F.col("copies") - 1 + last)
-    return ranked.select(
+    return ranked.selectExpr(
         "vid",
-        F.explode(ranks).alias("rank"),
-        *[F.col(n).alias(f"n{i}") for i, n in enumerate(names)],
+        "explode(sequence(copies - 1 + first, copies - 2 + least(upto, needed))) AS rank",
+        *[f"{n} AS n{i}" for i, n in enumerate(names)],
     )
 
 
@@ -201,13 +197,13 @@ def synthesize(
     )
     names = [f"f{i}" for i in range(len(features))]
     vectors = materialize_once(distinct_vectors(points, names, "key"), "vectors")
-    spread = vectors.agg(*[F.stddev_pop(n).alias(n) for n in names]).first()
-    direction = _direction([spread[n] or 0.0 for n in names])
-    neighbours = nearest_vectors(vectors, len(names), k, direction, cell_rows)
+    neighbours = nearest_vectors(vectors, len(names), k, cell_rows)
 
-    h = row_hash(["key"], seed)
-    _, cuts = rank_cuts(points, h, lambda n: {s: [n_new % n_rows] for s in n})
-    extra = below_cut(h, {s: c[0] for s, c in cuts.items()}).cast("int")
+    extra = F.lit(0)
+    if n_new % n_rows:
+        h = row_hash(["key"], seed)
+        _, cuts = rank_cuts(points, h, lambda n: {s: [n_new % n_rows] for s in n})
+        extra = below_cut(h, {s: c[0] for s, c in cuts.items()}).cast("int")
     drawn = (
         points.withColumn("n_draws", F.lit(n_new // n_rows) + extra)
         .filter(F.col("n_draws") > 0)
@@ -227,7 +223,7 @@ def synthesize(
         "key",
         "draw",
         *[
-            F.coalesce(F.col(n) + F.col("u") * (F.col(f"n{i}") - F.col(n)), F.col(n)).alias(f)
+            F.expr(f"coalesce({n} + u * (n{i} - {n}), {n})").alias(f)
             for i, (n, f) in enumerate(zip(names, features))
         ],
     )

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from itertools import combinations
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import (
@@ -147,8 +147,11 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     require_columns(df, columns)
     pairs = list(combinations(columns, 2))
 
-    def pair_corr(a: str, b: str):
-        return F.corr(clean_double(df, a), clean_double(df, b))
+    def pair_corr(a: str, b: str) -> Column:
+        """Over rows with both values; null when a column does not vary."""
+        x, y = clean_double(df, a), clean_double(df, b)
+        x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
     row = df.agg(
         *[pair_corr(a, b).alias(f"{a}|{b}") for a, b in pairs],

@@ -49,6 +49,12 @@ def _param(name: str, doc: str) -> Param:
     return Param(Params._dummy(), name, doc)
 
 
+def sql_text(value: str) -> str:
+    """A string literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def fit_categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list[tuple[str, int]]]:
     """Sorted distinct non-null values with row counts, all columns in one job.
 
@@ -116,9 +122,9 @@ class DummyEncoderModel(_Stage, Model):
         dummies: dict[str, list[Column]] = {}
         for c, values in self._get("categories"):
             if c in dataset.columns:
-                text = F.col(f"`{c}`").cast("string")
                 dummies[c] = [
-                    F.when(text == F.lit(v), 1).otherwise(0).alias(f"{c}_{v}") for v in values
+                    F.expr(f"CAST(coalesce(CAST(`{c}` AS STRING) = {sql_text(v)}, false) AS INT)").alias(f"{c}_{v}")
+                    for v in values
                 ]
         return replace_in_place(dataset, dummies)
 

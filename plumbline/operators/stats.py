@@ -70,6 +70,6 @@ def t_test(df: DataFrame, value: str, label: str, first=1, second=0) -> DataFram
     m = df.agg(*aggs)
     dof = F.col("n1") + F.col("n2") - 2
     pooled = ((F.col("n1") - 1) * F.col("var1") + (F.col("n2") - 1) * F.col("var2")) / F.when(dof > 0, dof)
-    spread = F.sqrt(pooled * (1 / F.col("n1") + 1 / F.col("n2")))
+    spread = F.sqrt(pooled * (F.try_divide(F.lit(1.0), F.col("n1")) + F.try_divide(F.lit(1.0), F.col("n2"))))
     t = F.try_divide(F.col("mean1") - F.col("mean2"), spread)
     return m.select(t.alias("t"), dof.cast("bigint").alias("dof")).withColumn("p_value", student_p("t", "dof"))

@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import clean_double, is_missing, require_columns
@@ -54,7 +54,8 @@ def clean_rows(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     kept = drop_missing(df.select(*spec.raw_columns))
     if spec.critical:
         kept = drop_blank(kept, spec.critical)
-    return kept.withColumns({c: clean_double(kept, c) for c in spec.numerical})
+    numbers = kept.withColumns({c: clean_double(kept, c) for c in spec.numerical})
+    return numbers.dropna(subset=list(spec.numerical)) if spec.numerical else numbers
 
 
 def _split_expression(df: DataFrame, spec: FeatureSpec) -> Column:
@@ -145,39 +146,29 @@ def prepare_to_table(
 
 
 def prepare_with_metrics(df: DataFrame, spec: FeatureSpec, path: str, fit_scope: str = "train") -> DataFrame:
-    """Write the prepared table and return its metrics, observed during the write.
+    """Write the prepared table and return its metrics in one row.
 
-    One row: raw rows, rows with a missing value, outlier rows removed, train
-    and test rows, number of features.
+    Raw and missing rows take one pass over the raw columns; row counts per
+    split come from the written table, whose file footers hold them.
     """
     prep = fit_preparation(df, spec, fit_scope)
-    raw, cleaned, final = Observation(), Observation(), Observation()
+    write_split(apply_preparation(df, prep), path)
     missing = F.lit(False)
     for c in spec.raw_columns:
         missing = missing | is_missing(df, c, blank=c == spec.critical)
-    watched = df.observe(raw, F.count(F.lit(1)).alias("rows"), F.count_if(missing).alias("missing"))
-    clean = clean_rows(watched, spec).withColumn("split", prep.split)
-    inside = within_bounds(clean, prep.bounds, spec)
-    clean = clean.observe(cleaned, F.count_if(~inside).alias("outliers"))
-    prepared = prep.target.transform(prep.features.transform(clean.filter(inside)))
-    prepared = prepared.observe(
-        final,
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("split") == "train").alias("train"),
-        F.count_if(F.col("split") == "test").alias("test"),
-    ).select(spec.key, *[F.col(f"`{c}`") for c in prep.feature_columns], spec.target, "split")
-    write_split(prepared, path)
-    row = (
-        raw.get["rows"],
-        raw.get["missing"],
-        cleaned.get["outliers"],
-        final.get["rows"],
-        final.get["train"],
-        final.get["test"],
-        len(prep.feature_columns),
+    for c in spec.numerical:
+        missing = missing | clean_double(df, c).isNull()
+    raw = df.agg(F.count(F.lit(1)).alias("raw_rows"), F.count_if(missing).alias("missing_rows"))
+    written = df.sparkSession.read.parquet(path).agg(
+        F.count(F.lit(1)).alias("dataset_rows"),
+        F.count_if(F.col("split") == "train").alias("training_rows"),
+        F.count_if(F.col("split") == "test").alias("test_rows"),
     )
-    return df.sparkSession.createDataFrame(
-        [row],
-        "raw_rows bigint, missing_rows bigint, outliers_removed bigint, dataset_rows bigint, "
-        "training_rows bigint, test_rows bigint, num_features int",
+    one = written.select(F.struct("dataset_rows", "training_rows", "test_rows").alias("w")).scalar()
+    return raw.select("raw_rows", "missing_rows", one.alias("w")).select(
+        "raw_rows",
+        "missing_rows",
+        (F.col("raw_rows") - F.col("missing_rows") - F.col("w.dataset_rows")).alias("outliers_removed"),
+        "w.*",
+        F.lit(len(prep.feature_columns)).alias("num_features"),
     )

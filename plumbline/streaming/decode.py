@@ -31,9 +31,10 @@ def unwrap_envelope(df: DataFrame, message: str = "message", output: str = "payl
 
 
 def field_value(payload: Column, name: str, type: str, default: object) -> Column:
-    """Field of a payload: the default when the key is absent, null when it is null."""
+    """Field of a payload: the default when the key is absent, null when it (or the payload) is null."""
     found = F.try_variant_get(F.element_at(payload, name), "$", type)
-    return F.when(F.map_contains_key(payload, name), found).otherwise(F.lit(default).cast(type))
+    present = F.map_contains_key(payload, name)
+    return F.when(present, found).when(~present, F.lit(default).cast(type))
 
 
 def extract_fields(

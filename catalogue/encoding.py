@@ -10,7 +10,7 @@ from catalogue import catalogue, table
 from catalogue.cleaning import GAPPY, HASH, gappy_orders
 from plumbline.operators import binning, features, stages
 from plumbline.plans.prepare import prepare, prepare_with_metrics
-from plumbline.sources.scratch import new_path
+from plumbline.sources.scratch import materialize_once, new_path
 from plumbline.spec import FeatureSpec
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -181,11 +181,12 @@ RAW_SPEC = FeatureSpec(
 
 
 def raw_records(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw table, joined and written once: fitting passes over it several times."""
     share = F.col("o_totalprice") / 100000.0
     square = share * share
     customers = table(spark, folder, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     orders = table(spark, folder, "orders")
-    return orders.join(customers, orders["o_custkey"] == customers["c_custkey"]).select(
+    raw = orders.join(customers, orders["o_custkey"] == customers["c_custkey"]).select(
         F.col("o_orderkey").alias("order_id"),
         F.col("c_mktsegment").alias("segment"),
         F.nullif("o_orderpriority", F.lit("4-NOT SPECIFIED")).alias("priority"),
@@ -195,6 +196,7 @@ def raw_records(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("o_orderstatus") == "P", " ").otherwise((square * square * share).cast("string")).alias("charge"),
         F.when(F.col("o_orderstatus") == "F", "Yes").otherwise("No").alias("done"),
     )
+    return materialize_once(raw, "raw-records")
 
 
 def hash_split_sql(source: str, key: str, label: str) -> str:

@@ -12,6 +12,7 @@ from plumbline.operators.sample import split_train_test
 from plumbline.operators.stages import DummyEncoder, StandardScale
 from plumbline.plans.score import batch_score as score_table
 from plumbline.plans.train import compare_models
+from plumbline.sources.scratch import materialize_once
 
 
 def ruled_labels(spark: SparkSession, folder: str) -> DataFrame:
@@ -100,7 +101,10 @@ def probability_format(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def document_features(spark: SparkSession, folder: str) -> DataFrame:
-    """Sizes of the whole text and language dummies for every document."""
+    """Sizes of the whole text and language dummies for every document.
+
+    The texts are measured once; fitting and scoring then read a few numbers.
+    """
     words = F.split("text", " ")
     documents = table(spark, folder, "documents").select(
         "doc_id",
@@ -109,7 +113,8 @@ def document_features(spark: SparkSession, folder: str) -> DataFrame:
         F.size(F.array_distinct(words)).cast("double").alias("distinct_words"),
         "lang",
     )
-    encoded = DummyEncoder(inputCols=["lang"]).fit(table(spark, folder, "documents")).transform(documents)
+    measured = materialize_once(documents, "document-sizes")
+    encoded = DummyEncoder(inputCols=["lang"]).fit(measured).transform(measured)
     return StandardScale(inputCols=["chars", "words", "distinct_words"]).fit(encoded).transform(encoded)
 
 
@@ -119,7 +124,7 @@ def feature_names(df: DataFrame) -> list[str]:
 
 def labelled_features(spark: SparkSession, folder: str) -> DataFrame:
     labels = table(spark, folder, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    rows = document_features(spark, folder).join(labels, "doc_id")
+    rows = materialize_once(document_features(spark, folder).join(labels, "doc_id"), "labelled")
     return split_train_test(rows, "doc_id", "label")
 
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,6 +38,9 @@ class _Rank:
     def settled(self) -> bool:
         return self.low == self.high
 
+    def bracket(self) -> tuple[str, float, float]:
+        return self.column, self.low, self.high
+
     def settle(self, value: float) -> None:
         self.low = self.high = value
 
@@ -46,8 +50,14 @@ def _bracket_probs(p: float) -> tuple[float, float]:
     return max(0.0, p - slack), min(1.0, p + slack)
 
 
-def _inside(value: Column, r: _Rank) -> Column:
-    return (value > F.lit(r.low)) & (value < F.lit(r.high))
+def _inside(r: _Rank) -> Column:
+    v = F.col(f"`{r.column}`")
+    return (v > F.lit(r.low)) & (v < F.lit(r.high))
+
+
+def _brackets(ranks: list[_Rank]) -> dict[tuple[str, float, float], int]:
+    """Number of each different bracket; neighbouring ranks mostly share theirs."""
+    return {b: i for i, b in enumerate(dict.fromkeys(r.bracket() for r in ranks))}
 
 
 def exact_quantiles(
@@ -114,17 +124,19 @@ def _settle(values: DataFrame, ranks: list[_Rank], first) -> None:
         if not open_ranks:
             return
         aggs = []
-        for i, r in enumerate(open_ranks):
-            v = F.col(f"`{r.column}`")
+        brackets = _brackets(open_ranks)
+        for (column, low, high), i in brackets.items():
+            v = F.col(f"`{column}`")
             aggs += [
-                F.count_if(v < F.lit(r.low)).alias(f"below{i}"),
-                F.count_if(v == F.lit(r.low)).alias(f"low{i}"),
-                F.count_if(_inside(v, r)).alias(f"inside{i}"),
-                F.count_if(v == F.lit(r.high)).alias(f"high{i}"),
+                F.count_if(v < F.lit(low)).alias(f"below{i}"),
+                F.count_if(v == F.lit(low)).alias(f"low{i}"),
+                F.count_if((v > F.lit(low)) & (v < F.lit(high))).alias(f"inside{i}"),
+                F.count_if(v == F.lit(high)).alias(f"high{i}"),
             ]
         counted = values.agg(*aggs).first()
         bracketed = []
-        for i, r in enumerate(open_ranks):
+        for r in open_ranks:
+            i = brackets[r.bracket()]
             below = counted[f"below{i}"]
             inside_from = below + counted[f"low{i}"]
             inside_to = inside_from + counted[f"inside{i}"]
@@ -155,7 +167,7 @@ def _shrink(values: DataFrame, ranks: list[_Rank]) -> None:
         p = (r.rank - r.below + 0.5) / r.inside
         bounds = F.array(*map(F.lit, _bracket_probs(min(max(p, 0.0), 1.0))))
         aggs.append(
-            F.percentile_approx(F.when(_inside(v, r), v), bounds, F.lit(SKETCH)).alias(f"q{i}")
+            F.percentile_approx(F.when(_inside(r), v), bounds, F.lit(SKETCH)).alias(f"q{i}")
         )
     row = values.agg(*aggs).first()
     for i, r in enumerate(ranks):
@@ -163,24 +175,37 @@ def _shrink(values: DataFrame, ranks: list[_Rank]) -> None:
 
 
 def _order(values: DataFrame, ranks: list[_Rank]) -> None:
-    """Order the bracket values, at most ``BRACKET_ROWS`` per rank, and pick."""
+    """Order the values inside each bracket, at most ``BRACKET_ROWS``, and pick."""
+    brackets = _brackets(ranks)
+    one_of = {r.bracket(): r for r in ranks}
     cells = F.array(*[
-        F.struct(F.lit(i).alias("target"), F.col(f"`{r.column}`").alias("v"), _inside(F.col(f"`{r.column}`"), r).alias("hit"))
-        for i, r in enumerate(ranks)
+        F.struct(
+            F.lit(i).alias("bracket"),
+            F.col(f"`{b[0]}`").alias("v"),
+            _inside(one_of[b]).alias("hit"),
+        )
+        for b, i in brackets.items()
     ])
-    hits = values.select(F.inline(F.filter(cells, lambda c: c["hit"])))
-    counted = hits.groupBy("target", "v").agg(F.count("*").alias("n"))
+    any_hit = reduce(lambda a, b: a | b, [_inside(r) for r in one_of.values()])
+    hits = values.filter(any_hit).select(F.inline(F.filter(cells, lambda c: c["hit"])))
+    counted = hits.groupBy("bracket", "v").agg(F.count("*").alias("n"))
     upto = F.sum("n").over(
-        Window.partitionBy("target").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    offset = F.element_at(
-        F.array(*[F.lit(r.rank - r.below).cast("bigint") for r in ranks]), F.col("target") + 1
+        Window.partitionBy("bracket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     )
+    wanted: dict[int, list[int]] = {i: [] for i in brackets.values()}
+    for r in ranks:
+        wanted[brackets[r.bracket()]].append(r.rank - r.below)
+    offsets = F.get(F.array(*[F.array(*map(F.lit, wanted[i])) for i in range(len(wanted))]), F.col("bracket"))
+    first = F.col("upto") - F.col("n")
     picked = (
         counted.withColumn("upto", upto)
-        .filter((F.col("upto") > offset) & (F.col("upto") - F.col("n") <= offset))
-        .select("target", "v")
+        .filter(F.exists(offsets, lambda o: (o >= first) & (o < F.col("upto"))))
+        .select("bracket", "v", first.alias("first"), "upto")
         .collect()
     )
-    for row in picked:
-        ranks[row["target"]].settle(row["v"])
+    settled = []
+    for r in ranks:
+        i, offset = brackets[r.bracket()], r.rank - r.below
+        settled.append(next(p["v"] for p in picked if p["bracket"] == i and p["first"] <= offset < p["upto"]))
+    for r, v in zip(ranks, settled):
+        r.settle(v)

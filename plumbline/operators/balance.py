@@ -25,6 +25,7 @@ from typing import Any
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.functions.columns import require_columns
 from plumbline.functions.hashing import DRAW_DIGITS, DRAW_SPAN, digest, hex_number, row_hash
@@ -42,9 +43,9 @@ def class_counts(df: DataFrame, label: str) -> dict[Any, int]:
     return {r[label]: r["n"] for r in df.groupBy(label).agg(F.count("*").alias("n")).collect()}
 
 
-def _squared_distance(left: Sequence[str], right: Sequence[str]) -> str:
-    """SQL text: wide feature lists parse in one step instead of one call per operation."""
-    return " + ".join(f"({a} - {b}) * ({a} - {b})" for a, b in zip(left, right))
+def _squared_distance(left: str, right: str, n: int) -> str:
+    """SQL text over two arrays of known length: parsed at once and compiled with the stage."""
+    return " + ".join(f"({left}[{i}] - {right}[{i}]) * ({left}[{i}] - {right}[{i}])" for i in range(n))
 
 
 def _direction(spread: Sequence[float]) -> list[float]:
@@ -68,63 +69,64 @@ def _cells(df: DataFrame, splits: Sequence[float], columns: dict[str, str]) -> D
     return cut.withColumns({out: F.col(out).cast("int") for out in columns.values()})
 
 
-def _vector_id(features: Sequence[str]) -> Column:
-    text = ", ".join(f"CAST(`{f}` AS STRING)" for f in features)
-    numbers = ", ".join(f"nanvl(CAST(`{f}` AS DOUBLE), NULL)" for f in features)
-    complete = F.size(F.array_compact(F.expr(f"array({numbers})"))) == len(features)
-    return F.when(complete, F.md5(F.expr(f"concat_ws('|', {text})"))).otherwise(
-        F.raise_error("a feature is missing; impute or drop first").cast("string")
+def feature_points(df: DataFrame, features: Sequence[str], key: str) -> DataFrame:
+    """Row key, feature values as one array ``v``, and the digest ``vid`` of the values.
+
+    One array instead of many columns keeps the plans small: the optimizer
+    multiplies long conditions for every column that is renamed above them.
+    """
+    values = ", ".join(f"nanvl(CAST(`{f}` AS DOUBLE), NULL)" for f in features)
+    v = F.expr(f"array_compact(array({values}))")
+    complete = F.when(F.size(v) == len(features), v).otherwise(
+        F.raise_error("a feature is missing; impute or drop first").cast("array<double>")
+    )
+    return df.select(F.col(f"`{key}`").alias("key"), complete.alias("v")).withColumn(
+        "vid", F.md5(F.expr("array_join(CAST(v AS ARRAY<STRING>), '|')"))
     )
 
 
-def distinct_vectors(points: DataFrame, features: Sequence[str], key: str) -> DataFrame:
-    """One row per feature vector: ``vid, f0.., copies, vkey`` (smallest row key)."""
+def distinct_vectors(points: DataFrame) -> DataFrame:
+    """One row per feature vector: ``vid, v, copies, vkey`` (smallest row key)."""
     return points.groupBy("vid").agg(
-        *[F.first(f"`{f}`").alias(f"f{i}") for i, f in enumerate(features)],
-        F.count("*").alias("copies"),
-        F.min(key).alias("vkey"),
+        F.first("v").alias("v"), F.count("*").alias("copies"), F.min("key").alias("vkey")
     )
 
 
-def nearest_vectors(
-    vectors: DataFrame, n_features: int, k: int, cell_rows: int = CELL_ROWS
-) -> DataFrame:
+def nearest_vectors(vectors: DataFrame, n_features: int, k: int, cell_rows: int = CELL_ROWS) -> DataFrame:
     """Neighbours of every vector that has fewer than ``k`` other copies.
 
-    Returns ``vid, rank, n0..``: the feature values at each neighbour rank. Own
-    copies take the first ranks and get no row.
+    Returns ``vid, rank, nv``: the neighbour's values at each rank. Own copies
+    take the first ranks and get no row.
     """
-    names = [f"f{i}" for i in range(n_features)]
-    shape = vectors.agg(F.count("*").alias("n"), *[F.stddev_pop(n).alias(n) for n in names]).first()
-    direction = _direction([shape[n] or 0.0 for n in names])
-    projection = " + ".join(f"{w!r}D * {n}" for w, n in zip(direction, names))
-    placed = vectors.withColumn("p", F.expr(projection))
+    axes = range(n_features)
+    shape = vectors.agg(F.count("*").alias("n"), *[F.expr(f"stddev_pop(v[{i}])").alias(f"s{i}") for i in axes]).first()
+    direction = _direction([shape[f"s{i}"] or 0.0 for i in axes])
+    placed = vectors.withColumn("p", F.expr(" + ".join(f"{w!r}D * v[{i}]" for i, w in enumerate(direction))))
 
     n_cells = min(MAX_CELLS, -(-shape["n"] // cell_rows))
     splits = [-math.inf, math.inf]
     if n_cells > 1:
-        probs = [i / n_cells for i in range(1, n_cells)]
+        probs = ", ".join(f"{i / n_cells!r}D" for i in range(1, n_cells))
         accuracy = max(10_000, 10 * n_cells)
-        cuts = placed.agg(F.expr(f"percentile_approx(p, array({', '.join(f'{q!r}D' for q in probs)}), {accuracy})")).first()[0]
+        cuts = placed.agg(F.expr(f"percentile_approx(p, array({probs}), {accuracy})")).first()[0]
         splits = [-math.inf, *sorted(set(cuts)), math.inf]
     placed = _cells(placed, splits, {"p": "cell"})
 
-    steps = [(shift, j) for j in range(1, k + 1) for shift in ("lag", "lead")]
-    beside = {f"{shift}{j}": f"{shift}(struct({', '.join(names)}), {j}) OVER near" for shift, j in steps}
-    gaps = ", ".join(_squared_distance(names, [f"{b}.{n}" for n in names]) for b in beside)
-    norm = " + ".join(f"{n} * {n}" for n in names)
+    # the bound: distances to the points next to this one in its cell
+    steps = ", ".join(
+        f"{shift}(v, {j}) OVER (PARTITION BY cell ORDER BY p, vid)" for j in range(1, k + 1) for shift in ("lag", "lead")
+    )
+    squares = "aggregate(zip_with(v, b, (x, y) -> (x - y) * (x - y)), 0D, (total, x) -> total + x)"
     bounded = (
-        placed.selectExpr("*", *[
-            f"{text.replace('near', '(PARTITION BY cell ORDER BY p, vid)')} AS {b}" for b, text in beside.items()
-        ])
+        placed.withColumn("beside", F.expr(f"array({steps})"))
         .selectExpr(
             "vid",
             "copies",
             "p",
-            *[f"{n} AS q{i}" for i, n in enumerate(names)],
+            "v",
             f"{k} - (copies - 1) AS needed",
-            f"array_sort(filter(array({gaps}), g -> g IS NOT NULL)) AS gaps",
-            f"sqrt({norm}) AS norm",
+            f"array_sort(transform(filter(beside, b -> b IS NOT NULL), b -> {squares})) AS gaps",
+            "sqrt(aggregate(v, 0D, (total, x) -> total + x * x)) AS norm",
         )
         .filter("needed > 0")
         .withColumn("reach2", F.expr("get(gaps, int(needed - 1))"))
@@ -135,7 +137,7 @@ def nearest_vectors(
         "copies",
         "needed",
         "reach2",
-        *[f"q{i}" for i in range(n_features)],
+        "v",
         f"coalesce(p - ({reach}), double('-infinity')) AS low",
         f"coalesce(p + ({reach}), double('infinity')) AS high",
     )
@@ -143,14 +145,14 @@ def nearest_vectors(
         "cell", F.explode(F.sequence("cell_low", "cell_high"))
     )
     others = placed.selectExpr(
-        "cell", "vid AS other", "vkey AS other_key", "copies AS other_copies", "p AS other_p", *names
+        "cell", "vid AS other", "vkey AS other_key", "copies AS other_copies", "p AS other_p", "v AS nv"
     )
-    distance = _squared_distance([f"q{i}" for i in range(n_features)], names)
+    distance = _squared_distance("v", "nv", n_features)
     within = F.expr(
         f"vid <> other AND other_p BETWEEN low AND high AND (reach2 IS NULL OR {distance} <= reach2)"
     )
     found = visits.join(others, "cell").filter(within).selectExpr(
-        "vid", "copies", "needed", "other_key", "other_copies", f"{distance} AS d2", *names
+        "vid", "copies", "needed", "other_key", "other_copies", f"{distance} AS d2", "nv"
     )
     order = Window.partitionBy("vid").orderBy("d2", "other_key")
     ranked = (
@@ -161,9 +163,7 @@ def nearest_vectors(
         .filter(F.col("first") < F.col("needed"))
     )
     return ranked.selectExpr(
-        "vid",
-        "explode(sequence(copies - 1 + first, copies - 2 + least(upto, needed))) AS rank",
-        *[f"{n} AS n{i}" for i, n in enumerate(names)],
+        "vid", "explode(sequence(copies - 1 + first, copies - 2 + least(upto, needed))) AS rank", "nv"
     )
 
 
@@ -187,17 +187,10 @@ def synthesize(
     if n_rows < 2:
         raise ValueError(f"class {minority!r} has {n_rows} row; interpolation needs two")
     k = min(k, n_rows - 1)
-    points = materialize_once(
-        df.filter(F.col(f"`{label}`") == F.lit(minority)).select(
-            F.col(f"`{key}`").alias("key"),
-            *[F.col(f"`{f}`").cast("double").alias(f"f{i}") for i, f in enumerate(features)],
-            _vector_id(features).alias("vid"),
-        ),
-        "minority",
-    )
-    names = [f"f{i}" for i in range(len(features))]
-    vectors = materialize_once(distinct_vectors(points, names, "key"), "vectors")
-    neighbours = nearest_vectors(vectors, len(names), k, cell_rows)
+    members = df.filter(F.col(f"`{label}`") == F.lit(minority))
+    points = materialize_once(feature_points(members, features, key), "minority")
+    vectors = materialize_once(distinct_vectors(points), "vectors")
+    neighbours = nearest_vectors(vectors, len(features), k, cell_rows)
 
     extra = F.lit(0)
     if n_new % n_rows:
@@ -222,18 +215,20 @@ def synthesize(
     moved = joined.select(
         "key",
         "draw",
-        *[
-            F.expr(f"coalesce({n} + u * (n{i} - {n}), {n})").alias(f)
-            for i, (n, f) in enumerate(zip(names, features))
-        ],
+        F.expr("coalesce(zip_with(v, nv, (x, y) -> x + u * (y - x)), v)").alias("v"),
     )
-    copied = marked.filter(F.col("hot")).select(
-        "key", "draw", *[F.col(n).alias(f) for n, f in zip(names, features)]
+    copied = marked.filter(F.col("hot")).select("key", "draw", "v")
+    out = moved.unionByName(copied).select(
+        "key", "draw", *[F.expr(f"v[{i}]").alias(f) for i, f in enumerate(features)]
     )
-    out = moved.unionByName(copied)
     return out.withColumn(label, F.lit(minority)).withColumnRenamed("key", key)
 
 
+def _as_double(df: DataFrame, column: str) -> Column:
+    c = F.col(f"`{column}`")
+    return c if isinstance(df.schema[column].dataType, T.DoubleType) else c.cast("double").alias(column)
+
+
 def smote(
     df: DataFrame,
     features: Sequence[str],
@@ -252,9 +247,7 @@ def smote(
     if not counts:
         raise ValueError("nothing to balance")
     largest = max(counts.values())
-    out = df.select(
-        key, F.lit(0).alias("draw"), *[F.col(f"`{f}`").cast("double").alias(f) for f in features], label
-    )
+    out = df.select(key, F.lit(0).alias("draw"), *[_as_double(df, f) for f in features], label)
     for value, n in sorted(counts.items(), key=lambda kv: str(kv[0])):
         if n < largest:
             rows = synthesize(df, features, label, key, value, largest - n, n, k, seed, cell_rows)

@@ -49,12 +49,11 @@ def test_neighbours_match_brute_force(spark, kind, cell_rows):
     d, k = 3, 5
     rows = points(kind, 240, d)
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "key bigint, f0 double, f1 double, f2 double")
-    names = ["f0", "f1", "f2"]
-    df = df.withColumn("vid", balance._vector_id(names))
-    near = balance.nearest_vectors(balance.distinct_vectors(df, names, "key"), d, k, cell_rows)
+    df = balance.feature_points(df, ["f0", "f1", "f2"], "key")
+    near = balance.nearest_vectors(balance.distinct_vectors(df), d, k, cell_rows)
     found: dict[int, list] = {i: [r] * k for i, r in enumerate(rows)}
     for r in df.select("key", "vid").join(near, "vid").collect():
-        found[r.key][r["rank"]] = (r.n0, r.n1, r.n2)
+        found[r.key][r["rank"]] = tuple(r.nv)
     want = brute_neighbours(rows, k)
     assert [found[i] for i in range(len(rows))] == want
 
@@ -110,6 +109,15 @@ def test_two_minority_classes(spark):
     assert {r.y: r["count"] for r in balance.class_distribution(out, "y").collect()} == {0: 60, 1: 60, 2: 60}
 
 
+def test_many_features_plan_quickly(spark):
+    d = 45
+    df = spark.createDataFrame([(i, *p, i % 4 // 3) for i, p in enumerate(points("gauss", 60, d))],
+                               "id bigint, " + ", ".join(f"c{i} double" for i in range(d)) + ", y int")
+    names = [f"c{i}" for i in range(d)]
+    out = balance.smote(df.dropna(subset=names), names, "y", "id")
+    assert out.count() == 90 and out.filter("draw > 0").count() == 30
+
+
 def test_refusals(spark):
     with pytest.raises(ValueError, match="needs two"):
         balance.smote(frame(spark, 10, [(1.0, 1.0)]), ["a", "b"], "y", "id")

@@ -17,17 +17,27 @@ from plumbline.spec import CHURN_FIELDS, CHURN_REQUIRED
 OBJECT = "map<string,variant>"
 
 
+def _once(df: DataFrame, value: Column, output: str) -> DataFrame:
+    """Add a column that is computed once per row.
+
+    Filters above a plain projection copy its expressions into themselves, so a
+    parsed message would be parsed again for every field. A generated column is
+    never copied.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(output))
+
+
 def decode_json(df: DataFrame, value: str = "value", output: str = "message") -> DataFrame:
     """Parse text as a JSON object; null when it is not one."""
     parsed = F.try_parse_json(F.col(f"`{value}`").cast("string"))
-    return df.withColumn(output, F.try_variant_get(parsed, "$", OBJECT))
+    return _once(df, F.try_variant_get(parsed, "$", OBJECT), output)
 
 
 def unwrap_envelope(df: DataFrame, message: str = "message", output: str = "payload") -> DataFrame:
     """The object under ``data`` when the message has that key, else the message itself."""
     m = F.col(f"`{message}`")
     inner = F.try_variant_get(F.element_at(m, "data"), "$", OBJECT)
-    return df.withColumn(output, F.when(F.map_contains_key(m, "data"), inner).otherwise(m))
+    return _once(df, F.when(F.map_contains_key(m, "data"), inner).otherwise(m), output)
 
 
 def field_value(payload: Column, name: str, type: str, default: object) -> Column:
@@ -46,9 +56,10 @@ def extract_fields(
 ) -> DataFrame:
     """Typed columns for the fields, ``status``, and the columns to keep."""
     p = F.col(f"`{payload}`")
-    typed = df.select(
-        *keep, p.isNull().alias("_malformed"), *[field_value(p, n, t, d).alias(n) for n, (t, d) in fields.items()]
+    record = F.struct(
+        p.isNull().alias("_malformed"), *[field_value(p, n, t, d).alias(n) for n, (t, d) in fields.items()]
     )
+    typed = df.select(*keep, F.inline(F.array(record)))
     invalid: Column = F.lit(False)
     for name in required:
         invalid = invalid | F.col(f"`{name}`").isNull()

@@ -61,14 +61,13 @@ def test_grid_search_and_comparison(prepared):
     prep, rows = prepared
     small = ["MonthlyCharges", "TotalCharges", "tenure_bins"]
     candidates = {
-        "tree": (model.decision_tree(), {"maxDepth": [2, 4]}),
-        "forest": (model.random_forest(numTrees=3, maxDepth=3), {"classWeight": ["balanced", "balanced_subsample", None]}),
-        "logistic": (model.logistic_regression(maxIter=10), {"C": [0.1, 1.0]}),
+        "forest": (model.random_forest(numTrees=2, maxDepth=3), {"classWeight": ["balanced", "balanced_subsample", None]}),
+        "logistic": (model.logistic_regression(maxIter=5), {"C": [0.1, 1.0]}),
     }
     table = {r.model: r for r in compare_models(rows, candidates, small, "Churn", "customerID", folds=2).collect()}
-    assert set(table) == {"tree", "forest", "logistic"}
+    assert set(table) == {"forest", "logistic"}
     assert all(0.0 <= r.cv_score <= 1.0 and 0.0 <= r.f1 <= 1.0 for r in table.values())
-    assert "maxDepth=" in table["tree"].params
+    assert "regParam=" in table["logistic"].params and "weightCol=" in table["forest"].params
 
 
 def test_training_without_grid(prepared):

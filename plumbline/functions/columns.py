@@ -40,6 +40,18 @@ def clean_double(df: DataFrame, column: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def keep_present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows with a value in every column.
+
+    One condition per column: each can be pushed into the scan, and the
+    optimizer need not rewrite a condition over all columns for every rename.
+    """
+    out = df
+    for c in columns:
+        out = out.filter(~is_absent(df, c))
+    return out
+
+
 def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
     absent = [c for c in columns if c not in df.columns]
     if absent:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.columns import is_absent, require_columns
+from plumbline.functions.columns import is_absent, keep_present, require_columns
 from plumbline.functions.quantiles import exact_quantiles
 
 logger = logging.getLogger(__name__)
@@ -18,7 +18,7 @@ logger = logging.getLogger(__name__)
 
 def drop_missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Keep rows without null and NaN in any (or the named) columns."""
-    return df.dropna(subset=list(columns) if columns else None)
+    return keep_present(df, list(columns or df.columns))
 
 
 def drop_blank(df: DataFrame, column: str = "TotalCharges") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.columns import require_columns
+from plumbline.functions.columns import keep_present, require_columns
 from plumbline.operators.clean import replace_in_place
 from plumbline.operators.stages import (
     CategoryIndexer,
@@ -28,8 +28,8 @@ def assemble_features(
 ) -> DataFrame:
     """Vector and label; rows with a missing feature are skipped."""
     require_columns(df, [*features, label])
-    assembler = VectorAssembler(inputCols=list(features), outputCol=output, handleInvalid="skip")
-    return assembler.transform(df).select(output, label)
+    assembler = VectorAssembler(inputCols=list(features), outputCol=output, handleInvalid="error")
+    return assembler.transform(keep_present(df, features)).select(output, label)
 
 
 def vector_to_columns(df: DataFrame, vector: str, names: Sequence[str]) -> DataFrame:

@@ -21,8 +21,10 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions.columns import keep_present
 from plumbline.operators.balance import NEIGHBOURS, class_counts, smote
 from plumbline.operators.sample import assign_folds
+from plumbline.operators.stages import RowFilter
 
 SEED = 42
 
@@ -155,10 +157,10 @@ class BalancedClassifier(Estimator):
         return BalancedClassifier(**{**self.settings, "classifier": self.classifier.copy(extra or {})})
 
     def _assembler(self) -> VectorAssembler:
-        return VectorAssembler(inputCols=self.features, outputCol="features", handleInvalid="skip")
+        return VectorAssembler(inputCols=self.features, outputCol="features", handleInvalid="error")
 
     def training_rows(self, dataset: DataFrame) -> DataFrame:
-        rows = dataset.dropna(subset=self.features)
+        rows = keep_present(dataset, self.features)
         if self.balance:
             rows = smote(rows, self.features, self.label, self.key, self.k, self.seed)
         rows = rows.select(*self.features, self.label)
@@ -169,7 +171,7 @@ class BalancedClassifier(Estimator):
 
     def _train(self, classifier: Estimator, rows: DataFrame) -> PipelineModel:
         fitted = classifier.copy({classifier.labelCol: self.label}).fit(rows)
-        return PipelineModel([self._assembler(), fitted])
+        return PipelineModel([RowFilter(inputCols=self.features), self._assembler(), fitted])
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         return self._train(self.classifier, self.training_rows(dataset))
@@ -222,7 +224,7 @@ def grid_search(
 ) -> CrossValidatorModel:
     """Exhaustive search with stratified folds, balancing inside each training
     fold, and a final fit of the best settings on all rows."""
-    folded = assign_folds(df.dropna(subset=list(features)), key, label, folds, seed)
+    folded = assign_folds(keep_present(df, features), key, label, folds, seed)
     folded = folded.withColumn(label, F.col(label).cast("double"))
     n_rows = df.count() if "C" in grid else 1
     estimator = BalancedClassifier(

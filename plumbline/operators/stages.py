@@ -16,7 +16,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.columns import clean_double, is_absent, require_columns, to_long
+from plumbline.functions.columns import clean_double, keep_present, require_columns, to_long
 from plumbline.operators.binning import bin_fixed
 from plumbline.operators.clean import (
     align_columns,
@@ -173,7 +173,7 @@ class CategoryIndexerModel(_Stage, Model):
                 index = F.when(index.isNull(), F.raise_error(message).cast("double")).otherwise(index)
             indexed[c] = [index.alias(c)]
         out = replace_in_place(dataset, indexed)
-        return out.dropna(subset=list(indexed)) if mode == "drop" and indexed else out
+        return keep_present(out, list(indexed)) if mode == "drop" else out
 
 
 class LabelDecoder(_Stage, Transformer):
@@ -211,7 +211,7 @@ class _ScaleModel(_Stage, Model):
             else:
                 scaled[c] = [F.when(v.isNotNull(), F.lit(self._get("constantValue"))).alias(c)]
         out = replace_in_place(dataset, scaled)
-        return out.dropna(subset=list(scaled)) if self._get("dropInvalid") and scaled else out
+        return keep_present(out, list(scaled)) if self._get("dropInvalid") else out
 
 
 class MinMaxModel(_ScaleModel):
@@ -226,7 +226,7 @@ class StandardModel(_ScaleModel):
 
 def _complete_rows(dataset: DataFrame, columns: Sequence[str]) -> DataFrame:
     values = dataset.select(*[clean_double(dataset, c).alias(c) for c in columns])
-    return values.dropna()
+    return keep_present(values, columns)
 
 
 class MinMaxScale(_Stage, Estimator):
@@ -304,9 +304,7 @@ class RowFilter(_Stage, Transformer):
     defaults = {"inputCols": [], "criticalCol": None}
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        out = dataset
-        for c in self._get("inputCols"):
-            out = out.filter(~is_absent(out, c))
+        out = keep_present(dataset, self._get("inputCols"))
         critical = self._get("criticalCol")
         return drop_blank(out, critical) if critical else out
 

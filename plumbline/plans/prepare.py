@@ -14,7 +14,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.functions.columns import clean_double, is_missing, require_columns
+from plumbline.functions.columns import clean_double, is_missing, keep_present, require_columns
 from plumbline.functions.hashing import row_hash
 from plumbline.functions.selection import below_cut, rank_cuts
 from plumbline.operators.binning import bin_fixed
@@ -55,7 +55,7 @@ def clean_rows(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     if spec.critical:
         kept = drop_blank(kept, spec.critical)
     numbers = kept.withColumns({c: clean_double(kept, c) for c in spec.numerical})
-    return numbers.dropna(subset=list(spec.numerical)) if spec.numerical else numbers
+    return keep_present(numbers, spec.numerical)
 
 
 def _split_expression(df: DataFrame, spec: FeatureSpec) -> Column:

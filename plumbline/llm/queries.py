@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import mixing
+from plumbline.llm import language, minhash, mixing, repetition
 
 QUERIES = {}
 SQL = {}
@@ -57,3 +57,26 @@ ranked AS (
 SELECT doc_id, size, source_size, target,
        (least(floor(u + rate * (k + 1)) - floor(u + rate * k), ceil(rate)) * size)::BIGINT AS taken FROM ranked
 """
+
+
+@query
+def op2_repetition(spark: SparkSession, folder: str) -> DataFrame:
+    return repetition.repetition_rules(table(spark, folder, "documents"), keep=["doc_id"]).drop("spans")
+
+
+def remainder(n: int):
+    """crc32 of the id's decimal digits modulo n."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+@query
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language.train_language_model(docs.where(remainder(5) != 0), F.col("doc_id"))
+    found = language.predict_languages(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return found.select("doc_id", (remainder(5) == 0).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op5_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"), keep=["doc_id"])

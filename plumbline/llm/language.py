@@ -164,7 +164,13 @@ def fit(rows: list, epochs: int = EPOCHS, seed: int = 7) -> LanguageModel:
     left = np.flatnonzero(np.arange(len(rows)) % 5 == 4)
     left = left if len(left) else fit
     logits = np.concatenate([dense(rows, i, i + 1) @ scores + bias for i in left])
-    loss = {t: -np.log(softmax(logits / t)[np.arange(len(left)), truth[left]] + 1e-300).mean() for t in np.geomspace(0.01, 10, 91)}
+    # smoothed as if one more row were wrong, so that separable languages keep a finite confidence
+    slack = 1 / (len(left) + 2)
+    loss = {}
+    for t in np.geomspace(0.001, 10, 121):
+        p = np.log(softmax(logits / t) + 1e-300)
+        own = p[np.arange(len(left)), truth[left]]
+        loss[t] = -((1 - slack) * own + slack * (p.sum(axis=1) - own) / max(len(languages) - 1, 1)).mean()
     model.temperature = float(min(loss, key=loss.get))
     p = softmax(logits / model.temperature)
     right = p.max(axis=1)[p.argmax(axis=1) == truth[left]]

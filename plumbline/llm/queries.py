@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import language, minhash, mixing, repetition
+from plumbline.llm import codes, language, minhash, mixing, ngram, packing, repetition
 
 QUERIES = {}
 SQL = {}
@@ -80,3 +81,27 @@ def op3_language(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), keep=["doc_id"])
+
+
+@query
+def op7_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return codes.near_vectors(table(spark, folder, "embeddings"))
+
+
+def tokenizer_file() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op10_pack(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), tokenizer_file())
+
+
+@query
+def op9_ngram(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = ngram.train(docs.where(remainder(7) != 2))
+    scored = ngram.score_texts(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return scored.select(
+        "doc_id", (remainder(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"
+    )

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import codes, language, minhash, mixing, ngram, packing, repetition
+from plumbline.llm import codes, language, minhash, mixing, ngram, packing, repetition, template
 
 QUERIES = {}
 SQL = {}
@@ -105,3 +105,8 @@ def op9_ngram(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select(
         "doc_id", (remainder(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"
     )
+
+
+@query
+def op8_template(spark: SparkSession, folder: str) -> DataFrame:
+    return template.extract_main_text(table(spark, folder, "pages"))

@@ -17,7 +17,7 @@ BUCKET_BITS = 14
 BUCKETS = 1 << BUCKET_BITS
 ORDERS = (2, 3, 4)
 DIMENSIONS = 16
-SAMPLE_PER_LANGUAGE = 1500
+SAMPLE_PER_LANGUAGE = 1000
 EPOCHS = 12
 BATCH = 64
 PRIOR = 10  # n-grams without an opinion that every text gets, so that short texts stay unsure
@@ -100,11 +100,14 @@ def sample_features(docs: DataFrame, key: Column, text_col: str, lang_col: str,
             data, at = flat(part.column(TEXT))
             buckets, row = subwords(data, at)
             keys, n = np.unique(row.astype(np.int64) * BUCKETS + buckets, return_counts=True)
-            offsets = np.searchsorted(keys, np.arange(len(at)) * BUCKETS).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(v.astype(np.int32))) for v in (keys % BUCKETS, n)]
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], *lists], names=["lang", "draw", "same", "buckets", "counts"])
-
-    features = picked.mapInArrow(run, "lang string, draw bigint, same bigint, buckets array<int>, counts array<int>")
+            cuts = np.searchsorted(keys, np.arange(len(at)) * BUCKETS)
+            packed = [
+                pa.array([v[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
+                for v in ((keys % BUCKETS).astype(np.int32), n.astype(np.int32))
+            ]
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], *packed], names=["lang", "draw", "same", "buckets", "counts"])
+
+    features = picked.mapInArrow(run, "lang string, draw bigint, same bigint, buckets binary, counts binary")
     place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "same"))
     return features.withColumn("place", place).where(F.col("place") <= per_language).drop("place")
 
@@ -112,8 +115,8 @@ def sample_features(docs: DataFrame, key: Column, text_col: str, lang_col: str,
 def dense(rows: list, lo: int, hi: int) -> np.ndarray:
     x = np.zeros((hi - lo, BUCKETS), np.float32)
     for i, r in enumerate(rows[lo:hi]):
-        c = np.asarray(r["counts"], np.float32)
-        x[i, np.asarray(r["buckets"], np.int64)] = c / (c.sum() + PRIOR)
+        c = np.frombuffer(r["counts"], np.int32).astype(np.float32)
+        x[i, np.frombuffer(r["buckets"], np.int32)] = c / (c.sum() + PRIOR)
     return x
 
 

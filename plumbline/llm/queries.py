@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import codes, language, minhash, mixing, ngram, packing, repetition, template
+from plumbline.llm import codes, language, lines, minhash, mixing, ngram, packing, preference, repetition, template
 
 QUERIES = {}
 SQL = {}
@@ -110,3 +110,45 @@ def op9_ngram(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_template(spark: SparkSession, folder: str) -> DataFrame:
     return template.extract_main_text(table(spark, folder, "pages"))
+
+
+@query
+def op4_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, folder, "documents"), keep=["doc_id", "text"])
+
+
+@query
+def op6_preference(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = preference.conversations_of(table(spark, folder, "conversations"))
+    found = preference.format_preferences(conversations, preference.pair_by_first_turn(conversations))
+    trained = lambda c: F.coalesce(F.length(preference.rendered(F.filter(c, lambda p: p["train"]))), F.lit(0)).cast("bigint")
+    return found.select(
+        "chosen_id", "rejected_id", "n_common", "prompt",
+        preference.rendered(F.col("chosen")).alias("chosen"), preference.rendered(F.col("rejected")).alias("rejected"),
+        trained(F.col("chosen")).alias("chosen_trained"), trained(F.col("rejected")).alias("rejected_trained"),
+    )
+
+
+SQL["op6_preference"] = """
+WITH t AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn, role, text) AS turns FROM t GROUP BY conv_id),
+b AS (SELECT (floor(floor(sqrt(count(*))) / 4) + 1)::BIGINT AS n FROM c),
+ranked AS (
+  SELECT conv_id, turns, turns[1] AS head, row_number() OVER (
+    PARTITION BY turns[1] ORDER BY ('0x' || substr(md5(conv_id::VARCHAR), 1, 8))::BIGINT % n, conv_id) - 1 AS k FROM c, b),
+pairs AS (
+  SELECT x.conv_id AS chosen_id, y.conv_id AS rejected_id, x.turns AS a, coalesce(y.turns, []) AS b
+  FROM ranked x LEFT JOIN ranked y ON x.head = y.head AND y.k = x.k + 1 WHERE x.k % 2 = 0),
+cut AS (
+  SELECT *, coalesce(list_position(list_transform(range(1, greatest(len(a), len(b)) + 1), lambda i: coalesce(a[i] = b[i], false)), false) - 1,
+                     greatest(len(a), len(b)))::INTEGER AS n_common FROM pairs),
+parts AS (SELECT chosen_id, rejected_id, n_common, a[1:n_common] AS p, a[n_common + 1:] AS x, b[n_common + 1:] AS y FROM cut)
+SELECT chosen_id, rejected_id, n_common,
+  coalesce(array_to_string(list_transform(p, lambda t: '<|' || replace(t.role, '<|', '< |') || '|>' || chr(10) || replace(t.text, '<|', '< |') || '<|end|>' || chr(10)), ''), '') AS prompt,
+  coalesce(array_to_string(list_transform(x, lambda t: '<|' || replace(t.role, '<|', '< |') || '|>' || chr(10) || replace(t.text, '<|', '< |') || '<|end|>' || chr(10)), ''), '') AS chosen,
+  coalesce(array_to_string(list_transform(y, lambda t: '<|' || replace(t.role, '<|', '< |') || '|>' || chr(10) || replace(t.text, '<|', '< |') || '<|end|>' || chr(10)), ''), '') AS rejected,
+  coalesce(list_sum(list_transform(list_filter(x, lambda t: t.role = 'assistant'), lambda t: length(replace(t.text, '<|', '< |')) + 8)), 0)::BIGINT AS chosen_trained,
+  coalesce(list_sum(list_transform(list_filter(y, lambda t: t.role = 'assistant'), lambda t: length(replace(t.text, '<|', '< |')) + 8)), 0)::BIGINT AS rejected_trained
+FROM parts
+"""

@@ -155,7 +155,7 @@ def gbt_score(spark: SparkSession, folder: str) -> DataFrame:
 
 @catalogue.add()
 def lr_score(spark: SparkSession, folder: str) -> DataFrame:
-    return scored_by(spark, folder, model.logistic_regression(C=1.0, n_rows=1_000, maxIter=1000))
+    return scored_by(spark, folder, model.logistic_regression(C=1.0, maxIter=1000))
 
 
 @catalogue.add()

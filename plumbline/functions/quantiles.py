@@ -21,9 +21,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.columns import clean_double
 
 SKETCH = 10_000
-DIRECT_ROWS = 200_000
 BRACKET_ROWS = 50_000
-MAX_ROUNDS = 12
 
 
 @dataclass
@@ -34,15 +32,18 @@ class _Rank:
     high: float
     below: int = 0
     inside: int = 0
+    done: bool = False
 
     def settled(self) -> bool:
-        return self.low == self.high
+        """Whether a count has shown the value; equal ends of a sketch alone do not."""
+        return self.done
 
     def bracket(self) -> tuple[str, float, float]:
         return self.column, self.low, self.high
 
     def settle(self, value: float) -> None:
         self.low = self.high = value
+        self.done = True
 
 
 def _bracket_probs(p: float) -> tuple[float, float]:
@@ -64,6 +65,8 @@ def exact_quantiles(
     df: DataFrame, wanted: Mapping[str, Sequence[float]]
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles per column, in the order of ``wanted``."""
+    if not wanted:
+        return {}
     values = df.select(*[clean_double(df, c).alias(c) for c in wanted])
     sketch = []
     for c, probs in wanted.items():
@@ -77,13 +80,6 @@ def exact_quantiles(
         ]
     first = values.agg(*sketch).first()
 
-    if max(first[f"{c}|n"] for c in wanted) <= DIRECT_ROWS:
-        exact = values.agg(*[
-            F.percentile(f"`{c}`", F.array(*map(F.lit, probs))).alias(c)
-            for c, probs in wanted.items()
-        ]).first()
-        return {c: list(exact[c]) if exact[c] is not None else [None] * len(p) for c, p in wanted.items()}
-
     ranks: dict[tuple[str, int], _Rank] = {}
     for c, probs in wanted.items():
         n = first[f"{c}|n"]
@@ -117,12 +113,10 @@ def _settle(values: DataFrame, ranks: list[_Rank], first) -> None:
     """Shrink every bracket until it is one value.
 
     The two ends are counted apart from the inside: a value shared by a large
-    part of the rows soon becomes an end and then settles or drops out.
+    part of the rows soon becomes an end and then settles or drops out. Values
+    strictly inside a bracket are the next ends, so every round shrinks it.
     """
-    for _ in range(MAX_ROUNDS):
-        open_ranks = [r for r in ranks if not r.settled()]
-        if not open_ranks:
-            return
+    while open_ranks := [r for r in ranks if not r.settled()]:
         aggs = []
         brackets = _brackets(open_ranks)
         for (column, low, high), i in brackets.items():
@@ -157,7 +151,6 @@ def _settle(values: DataFrame, ranks: list[_Rank], first) -> None:
         narrow = [r for r in bracketed if r.inside <= BRACKET_ROWS]
         if narrow:
             _order(values, narrow)
-    raise RuntimeError("quantile brackets did not settle")
 
 
 def _shrink(values: DataFrame, ranks: list[_Rank]) -> None:

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from plumbline.functions.hashing import HASH_BITS, HASH_SPAN
 
 RADIX_BITS = 12
-DIRECT_ROWS = 20_000
 MAX_STRATA = 1_000
 
 
@@ -97,8 +96,9 @@ def rank_cuts(
         _narrow(t, bins[t.stratum], shift)
 
     while shift and targets:
-        few = sum(t.inside for t in targets) <= DIRECT_ROWS
-        shift = 0 if few else max(0, shift - RADIX_BITS)
+        shift = max(0, shift - RADIX_BITS)
+        if all(t.inside == 1 for t in targets):
+            shift = 0  # the rows are known, only their exact hashes are not
         inside = reduce(
             lambda a, b: a | b,
             [

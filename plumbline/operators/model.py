@@ -7,7 +7,7 @@ from threading import Lock
 from typing import Any
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, PipelineModel
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from plumbline.functions.columns import keep_present
 from plumbline.operators.balance import NEIGHBOURS, class_counts, smote
 from plumbline.operators.sample import assign_folds
-from plumbline.operators.stages import RowFilter
 
 SEED = 42
 
@@ -67,11 +66,22 @@ def decision_tree(**settings: Any) -> DecisionTreeClassifier:
     return DecisionTreeClassifier(**{"seed": SEED, **settings})
 
 
-def logistic_regression(C: float = 1.0, n_rows: int | None = None, **settings: Any) -> LogisticRegression:
-    """L2 penalty given as inverse strength ``C`` on a sum of losses; Spark
-    penalises the mean loss, hence the row count."""
-    penalty = 1.0 / (C * n_rows) if n_rows else 0.0
-    return LogisticRegression(**{"regParam": penalty, "elasticNetParam": 0.0, "standardization": False, **settings})
+class LogisticOnSums(LogisticRegression):
+    """Logistic regression whose ``regParam`` weighs against the sum of the losses.
+
+    Spark penalises their mean, so the penalty is divided by the number (or the
+    weights) of the rows that are fitted, whatever they are.
+    """
+
+    def _fit(self, dataset: DataFrame) -> Model:
+        weighted = self.isDefined(self.weightCol) and self.getWeightCol()
+        rows = dataset.agg(F.sum(self.getWeightCol()) if weighted else F.count("*")).first()[0] or 1
+        return LogisticRegression._fit(self.copy({self.regParam: self.getRegParam() / rows}), dataset)
+
+
+def logistic_regression(C: float = 1.0, **settings: Any) -> LogisticRegression:
+    """L2 penalty given as inverse strength ``C`` on the sum of losses."""
+    return LogisticOnSums(**{"regParam": 1.0 / C, "elasticNetParam": 0.0, "standardization": False, **settings})
 
 
 BUILDERS: dict[str, Callable[..., Estimator]] = {
@@ -157,7 +167,7 @@ class BalancedClassifier(Estimator):
         return BalancedClassifier(**{**self.settings, "classifier": self.classifier.copy(extra or {})})
 
     def _assembler(self) -> VectorAssembler:
-        return VectorAssembler(inputCols=self.features, outputCol="features", handleInvalid="error")
+        return VectorAssembler(inputCols=self.features, outputCol="features", handleInvalid="keep")
 
     def training_rows(self, dataset: DataFrame) -> DataFrame:
         rows = keep_present(dataset, self.features)
@@ -171,7 +181,7 @@ class BalancedClassifier(Estimator):
 
     def _train(self, classifier: Estimator, rows: DataFrame) -> PipelineModel:
         fitted = classifier.copy({classifier.labelCol: self.label}).fit(rows)
-        return PipelineModel([RowFilter(inputCols=self.features), self._assembler(), fitted])
+        return PipelineModel([self._assembler(), fitted])
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         return self._train(self.classifier, self.training_rows(dataset))
@@ -182,7 +192,7 @@ class BalancedClassifier(Estimator):
         return _Fits(lambda i: self._train(self.classifier.copy(maps[i]), rows), len(maps), rows.unpersist)
 
 
-def param_grid(classifier: Estimator, grid: Mapping[str, Sequence[Any]], n_rows: int) -> list[dict]:
+def param_grid(classifier: Estimator, grid: Mapping[str, Sequence[Any]]) -> list[dict]:
     """Every combination of the grid as parameter maps of the classifier.
 
     ``C`` becomes the matching penalty, ``classWeight`` chooses the weight
@@ -191,7 +201,7 @@ def param_grid(classifier: Estimator, grid: Mapping[str, Sequence[Any]], n_rows:
     builder = ParamGridBuilder()
     for name, values in grid.items():
         if name == "C":
-            builder.addGrid(classifier.regParam, [1.0 / (c * n_rows) for c in values])
+            builder.addGrid(classifier.regParam, [1.0 / c for c in values])
         elif name == "classWeight":
             columns = [UNIT_WEIGHT if v is None else CLASS_WEIGHT for v in values]
             builder.addGrid(classifier.weightCol, list(dict.fromkeys(columns)))
@@ -226,7 +236,6 @@ def grid_search(
     fold, and a final fit of the best settings on all rows."""
     folded = assign_folds(keep_present(df, features), key, label, folds, seed)
     folded = folded.withColumn(label, F.col(label).cast("double"))
-    n_rows = df.count() if "C" in grid else 1
     estimator = BalancedClassifier(
         classifier=classifier,
         features=list(features),
@@ -238,7 +247,7 @@ def grid_search(
     )
     return CrossValidator(
         estimator=estimator,
-        estimatorParamMaps=param_grid(classifier, grid, n_rows),
+        estimatorParamMaps=param_grid(classifier, grid),
         evaluator=evaluator(scoring, label),
         numFolds=folds,
         foldCol="fold",
@@ -269,12 +278,18 @@ def fit_directly(
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Add ``prediction``, ``positive_probability`` and ``confidence`` (largest class probability)."""
+    """Add ``prediction``, ``positive_probability`` and ``confidence`` (largest class probability).
+
+    Every row comes back once. Trees take missing features; where a model's
+    probability is no number, all three are null.
+    """
     probabilities = vector_to_array(F.col("probability"))
+    usable = ~F.exists(probabilities, F.isnan)
     return (
         model.transform(df)
-        .withColumn("positive_probability", F.get(probabilities, F.lit(1)))
-        .withColumn("confidence", F.array_max(probabilities))
+        .withColumn("prediction", F.when(usable, F.col("prediction")))
+        .withColumn("positive_probability", F.when(usable, F.get(probabilities, F.lit(1))))
+        .withColumn("confidence", F.when(usable, F.array_max(probabilities)))
         .drop("features", "rawPrediction", "probability")
     )
 

@@ -7,6 +7,7 @@ batch tables and streams with the same expressions.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -27,7 +28,7 @@ from plumbline.operators.clean import (
 )
 from plumbline.spec import TENURE_BINS, BinSpec
 
-MAX_CATEGORIES = 10_000
+MAX_DUMMIES = 10_000
 ON_INVALID = ("drop", "keep_null", "error")
 
 
@@ -55,31 +56,39 @@ def sql_text(value: str) -> str:
     return f"'{escaped}'"
 
 
-def fit_categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list[tuple[str, int]]]:
+def fit_categories(
+    df: DataFrame, columns: Sequence[str], most: int | None = None
+) -> dict[str, list[tuple[str, int]]]:
     """Sorted distinct non-null values with row counts, all columns in one job.
 
-    The distinct set is built by a distributed aggregation; the driver reads it
-    only up to the limit, and a column with more values is an error.
+    The distinct set is built by a distributed aggregation. The values become
+    part of a fitted stage, so the driver reads them; with ``most``, a column
+    with more values is an error and nothing beyond that is read.
     """
     require_columns(df, columns)
-    limit = MAX_CATEGORIES * max(1, len(columns))
-    found = (
+    if not columns:
+        return {}
+    counted = (
         to_long(df, columns)
         .filter(F.col("value").isNotNull())
         .groupBy("column", "value")
         .agg(F.count("*").alias("n"))
-        .limit(limit + 1)
-        .collect()
     )
+    found = (counted if most is None else counted.limit(most * len(columns) + 1)).collect()
     out: dict[str, list[tuple[str, int]]] = {c: [] for c in columns}
     for row in found:
         out[row["column"]].append((row["value"], row["n"]))
-    too_many = [c for c, values in out.items() if len(values) > MAX_CATEGORIES]
-    if too_many or len(found) > limit:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories in {too_many or columns}")
+    too_many = [c for c, values in out.items() if most is not None and len(values) > most]
+    if too_many:
+        raise ValueError(f"more than {most} categories in {too_many}")
     return {c: sorted(values) for c, values in out.items()}
 
 
+def text_array(values: Sequence[str]) -> Column:
+    """The values as one array literal, however many there are."""
+    return F.from_json(F.lit(json.dumps(list(values))), "array<string>")
+
+
 class FixedBinner(_Stage, Transformer):
     """Replace a numeric column by its bin label."""
 
@@ -99,13 +108,19 @@ class FixedBinner(_Stage, Transformer):
 
 
 class DummyEncoder(_Stage, Estimator):
-    """Learn the values of nominal columns; absent columns are skipped."""
+    """Learn the values of nominal columns; absent columns are skipped.
+
+    Each value becomes a column, so more than ``maxDummies`` of one column are
+    an error.
+    """
 
     inputCols = _param("inputCols", "nominal columns")
+    maxDummies = _param("maxDummies", "most values of one column")
+    defaults = {"maxDummies": MAX_DUMMIES}
 
     def _fit(self, dataset: DataFrame) -> "DummyEncoderModel":
         present = [c for c in self._get("inputCols") if c in dataset.columns]
-        found = fit_categories(dataset, present)
+        found = fit_categories(dataset, present, self._get("maxDummies"))
         return DummyEncoderModel(categories=[[c, [v for v, _ in found[c]]] for c in present])
 
 
@@ -166,7 +181,7 @@ class CategoryIndexerModel(_Stage, Model):
             if c not in dataset.columns:
                 continue
             text = F.col(f"`{c}`").cast("string")
-            position = F.array_position(F.array(*map(F.lit, values)).cast("array<string>"), text)
+            position = F.array_position(text_array(values), text)
             index = F.when(position > 0, (position - 1).cast("double"))
             if mode == "error":
                 message = F.concat(F.lit(f"unseen value in {c}: "), F.coalesce(text, F.lit("null")))
@@ -187,7 +202,7 @@ class LabelDecoder(_Stage, Transformer):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         index = F.col(f"`{self._get('inputCol')}`").cast("int")
-        known = F.array(*map(F.lit, self._get("values")))
+        known = text_array(self._get("values"))
         found = F.when(index >= 0, F.get(known, index))
         return dataset.withColumn(self._get("outputCol"), F.coalesce(found, F.lit(self._get("unknown"))))
 
@@ -263,6 +278,8 @@ class StandardScale(_Stage, Estimator):
     def _fit(self, dataset: DataFrame) -> StandardModel:
         columns = list(self._get("inputCols"))
         require_columns(dataset, columns)
+        if not columns:
+            return StandardModel()
         row = dataset.agg(*[
             f(clean_double(dataset, c)).alias(f"{c}|{s}")
             for c in columns

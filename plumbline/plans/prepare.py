@@ -7,6 +7,7 @@ streams with the same rules.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -22,6 +23,7 @@ from plumbline.operators.clean import drop_blank, drop_missing
 from plumbline.operators.outliers import Bounds, count_expression, fit_iqr
 from plumbline.operators.sample import stratified_sizes
 from plumbline.operators.stages import (
+    MAX_DUMMIES,
     CategoryIndexerModel,
     ColumnAligner,
     DummyEncoderModel,
@@ -29,7 +31,7 @@ from plumbline.operators.stages import (
     MinMaxScale,
     fit_categories,
 )
-from plumbline.sources.files import materialize, write_split
+from plumbline.sources.files import input_version, materialize, write_split
 from plumbline.spec import FeatureSpec
 
 FIT_SCOPES = ("train", "all")
@@ -100,7 +102,7 @@ def fit_preparation(df: DataFrame, spec: FeatureSpec, fit_scope: str = "train")
         nullLabel=spec.bins.null_label,
     )] if spec.binned else []
     binned = bin_fixed(learn, spec.binned, spec.bins) if spec.binned else learn
-    found = fit_categories(binned, [*spec.nominal, *spec.ordinal, spec.target])
+    found = fit_categories(binned, [*spec.nominal, *spec.ordinal, spec.target], MAX_DUMMIES)
     values = {c: [v for v, _ in counted] for c, counted in found.items()}
     dummies = DummyEncoderModel(categories=[[c, values[c]] for c in spec.nominal])
     ordinal = CategoryIndexerModel(labels=[[c, values[c]] for c in spec.ordinal], onInvalid="keep_null")
@@ -138,10 +140,20 @@ def prepare(df: DataFrame, spec: FeatureSpec, fit_scope: str = "train") -> DataF
 
 
 def prepare_to_table(
-    spark: SparkSession, df: DataFrame, spec: FeatureSpec, folder: str, fit_scope: str = "train"
+    spark: SparkSession,
+    df: DataFrame,
+    spec: FeatureSpec,
+    folder: str,
+    fit_scope: str = "train",
+    version: str | None = None,
 ) -> DataFrame:
-    """Prepared table below ``folder``, one folder per split, rebuilt only when settings change."""
-    path = f"{folder}/{spec.fingerprint()}-{fit_scope}"
+    """Prepared table below ``folder``, one folder per split, rebuilt when settings or input change.
+
+    The input is known by its files with their sizes and times, or by the
+    ``version`` a caller gives. An input of neither is prepared anew each time.
+    """
+    known = version or input_version(df) or uuid.uuid4().hex
+    path = f"{folder}/{spec.fingerprint()}-{fit_scope}-{known}"
     return materialize(spark, path, lambda: prepare(df, spec, fit_scope), "split")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from typing import Any
 
@@ -100,3 +101,15 @@ def materialize(spark: SparkSession, path: str, build: Callable[[], DataFrame],
 def with_partition_rows(df: DataFrame) -> DataFrame:
     """Rows per input partition, to judge the layout of a table."""
     return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count("*").alias("rows"))
+
+
+def input_version(df: DataFrame) -> str | None:
+    """Short digest of the files a frame reads, with sizes and times; none if it reads no files."""
+    jvm = df.sparkSession.sparkContext._jvm
+    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    known = []
+    for name in sorted(df.inputFiles()):
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        status = path.getFileSystem(conf).getFileStatus(path)
+        known.append(f"{name}|{status.getLen()}|{status.getModificationTime()}")
+    return hashlib.md5("\n".join(known).encode()).hexdigest()[:12] if known else None

@@ -74,7 +74,8 @@ def with_file_metadata(df: DataFrame) -> DataFrame:
 def encode_envelope(df: DataFrame, key: str, *columns: str, timestamp: str | None = None) -> DataFrame:
     """Rows as keyed messages ``{"timestamp": .., "data": {..}}``.
 
-    The timestamp is the named column, or the current time in ISO form.
+    The timestamp is the named column, or the current time in ISO form. A null
+    field is written as null: a reader must be able to tell it from an absent one.
     """
     fields = [F.col(c) for c in (columns or df.columns)]
     time = (
@@ -83,7 +84,7 @@ def encode_envelope(df: DataFrame, key: str, *columns: str, timestamp: str | Non
         else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     )
     body = F.struct(time.alias("timestamp"), F.struct(*fields).alias("data"))
-    return df.select(F.col(f"`{key}`").cast("string").alias("key"), F.to_json(body).alias("value"))
+    return df.select(F.col(f"`{key}`").cast("string").alias("key"), F.to_json(body, {"ignoreNullFields": "false"}).alias("value"))
 
 
 def write_messages(df: DataFrame, target: str, format: str = "parquet", **options: Any) -> None:

@@ -27,7 +27,6 @@ class BinSpec:
 
 # Tenure bins in months and their configured order.
 TENURE_BINS = BinSpec(edges=(12, 48), labels=("Newer", "Medium", "Long-term"), null_label="Long-term")
-TENURE_ORDER = ("Newer", "Medium", "Long-term")
 
 
 @dataclass(frozen=True)
@@ -59,7 +58,8 @@ class FeatureSpec:
     @property
     def raw_columns(self) -> tuple[str, ...]:
         binned = (self.binned,) if self.binned else ()
-        return (self.key, *self.nominal, *binned, *self.remainder, *self.numerical, self.target)
+        own = (self.key, *self.nominal, *binned, *self.remainder, *self.numerical, self.target)
+        return (*own, self.critical) if self.critical and self.critical not in own else own
 
     def fingerprint(self) -> str:
         """Short digest of all settings, for the path of derived tables."""

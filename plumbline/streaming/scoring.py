@@ -24,7 +24,11 @@ from plumbline.streaming.decode import decode_records
 def shape_scored(
     scored: DataFrame, key: str, original: Column, labels: Sequence[str], batch_id: Column
 ) -> DataFrame:
-    """Rows as ``customer_id, original_data, prediction, processed_at, batch_id``."""
+    """Rows as ``customer_id, original_data, prediction, processed_at, batch_id``.
+
+    A row that the model cannot score has the prediction ``Unknown`` and no
+    probability.
+    """
     names = {float(i): v for i, v in enumerate(labels)}
     return scored.select(
         F.col(f"`{key}`").cast("string").alias("customer_id"),
@@ -46,12 +50,27 @@ def score_records(
     fields: Sequence[str],
     batch_id: Column | None = None,
 ) -> DataFrame:
-    """Score typed records; the input fields travel along as ``original_data``."""
-    carried = records.withColumn("_original", F.struct(*[F.col(f"`{f}`") for f in fields]))
-    scored = score(model, carried)
+    """Score typed records, one output row each; the input fields travel along as ``original_data``."""
+    scored = score(model, with_original(records, fields))
     return shape_scored(scored, key, F.col("_original"), labels, batch_id if batch_id is not None else F.lit(None))
 
 
+def with_original(records: DataFrame, fields: Sequence[str]) -> DataFrame:
+    return records.withColumn("_original", F.struct(*[F.col(f"`{f}`") for f in fields]))
+
+
+def score_ok_messages(
+    messages: DataFrame,
+    model: PipelineModel,
+    fields: Mapping[str, tuple[str, object]] = CHURN_FIELDS,
+    required: Sequence[str] = CHURN_REQUIRED,
+    value: str = "value",
+) -> DataFrame:
+    """Scores and ``_original`` of the messages that decode, before they are shaped."""
+    records = decode_records(messages, fields, required, value).filter(F.col("status") == "ok")
+    return score(model, with_original(records, list(fields)))
+
+
 def score_messages(
     messages: DataFrame,
     model: PipelineModel,
@@ -81,7 +100,7 @@ def rejected_messages(
 def encode_scored(scored: DataFrame) -> DataFrame:
     """Scored records as keyed JSON messages for a topic or text sink."""
     return scored.select(
-        F.col("customer_id").alias("key"), F.to_json(F.struct(*scored.columns)).alias("value")
+        F.col("customer_id").alias("key"), F.to_json(F.struct(*scored.columns), {"ignoreNullFields": "false"}).alias("value")
     )
 
 
@@ -91,21 +110,30 @@ def run_scoring(scored: DataFrame, path: str, checkpoint: str) -> StreamingQuery
 
 
 def run_batches(
-    scored: DataFrame, path: str, checkpoint: str, summary_path: str | None = None, continuous: bool = False
+    scored: DataFrame,
+    path: str,
+    checkpoint: str,
+    summary_path: str | None = None,
+    continuous: bool = False,
+    key: str = "customerID",
+    labels: Sequence[str] = ("No", "Yes"),
 ) -> StreamingQuery:
     """Write each micro-batch as its own folder ``batch_id=..``, overwriting on retry,
     and optionally its risk summary.
 
-    A batch that is tried again after a failure replaces its own folder, so the
+    ``scored`` comes from :func:`score_ok_messages`. A batch is shaped with its
+    own id; the summary is taken from the same rows before they are shaped. A
+    batch that is tried again after a failure replaces its own folder, so the
     output has no duplicates.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        target = f"{path}/batch_id={batch_id}"
-        batch.drop("batch_id").write.mode("overwrite").parquet(target)
+        rows = batch.persist()
+        shaped = shape_scored(rows, key, F.col("_original"), labels, F.lit(batch_id))
+        shaped.drop("batch_id").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         if summary_path:
-            written = batch.sparkSession.read.parquet(target)
-            summary = risk_summary(written, "prediction", "positive_probability")
+            summary = risk_summary(rows, "prediction", "positive_probability")
             summary.write.mode("overwrite").parquet(f"{summary_path}/batch_id={batch_id}")
+        rows.unpersist()
 
     query = message_writer(scored, checkpoint, continuous).foreachBatch(write).start()
     if not continuous:

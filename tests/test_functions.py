@@ -25,7 +25,7 @@ def test_rank_cuts_select_exact_counts(spark):
 
 
 def test_rank_cuts_go_deeper_when_bins_are_full(spark, monkeypatch):
-    monkeypatch.setattr(selection, "DIRECT_ROWS", 0)
+    monkeypatch.setattr(selection, "RADIX_BITS", 4)
     df = spark.range(5_000)
     _, cuts = rank_cuts(df, row_hash(["id"]), lambda n: {None: [1234]})
     assert df.filter(below_cut(row_hash(["id"]), {None: cuts[None][0]})).count() == 1234
@@ -64,7 +64,6 @@ CASES = {
 
 @pytest.mark.parametrize("case", CASES)
 def test_exact_quantiles_match_numpy_in_bracket_mode(spark, monkeypatch, case):
-    monkeypatch.setattr(quantiles, "DIRECT_ROWS", 10)
     monkeypatch.setattr(quantiles, "SKETCH", 50)
     monkeypatch.setattr(quantiles, "BRACKET_ROWS", 40)
     r = random.Random(3)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ FLOORS = {
     "random_forest": (dict(numTrees=20, maxDepth=6), 0.85),
     "boosted_trees": (dict(maxIter=5, maxDepth=4), 0.85),
     "decision_tree": (dict(maxDepth=6), 0.70),
-    "logistic_regression": (dict(C=1.0, n_rows=400, maxIter=50), 0.80),
+    "logistic_regression": (dict(C=1.0, maxIter=50), 0.80),
 }
 
 
@@ -42,8 +43,8 @@ def test_default_settings():
     forest, booster = model.random_forest(), model.boosted_trees()
     assert (forest.getMaxDepth(), forest.getNumTrees(), forest.getMinInstancesPerNode(), forest.getSeed()) == (10, 100, 1, 42)
     assert (booster.getMaxDepth(), booster.getMaxIter(), booster.getSeed()) == (10, 100, 42)
-    assert len(model.param_grid(booster, model.BOOSTER_GRID, 1)) == 48
-    assert len(model.param_grid(model.decision_tree(), model.TREE_GRID, 1)) == 18
+    assert len(model.param_grid(booster, model.BOOSTER_GRID)) == 48
+    assert len(model.param_grid(model.decision_tree(), model.TREE_GRID)) == 18
 
 
 def test_balancing_touches_training_rows_only(prepared):
@@ -108,3 +109,44 @@ def test_feature_alignment(customers, prepared):
     aligned = plan.align_features(prep, "customerID").transform(customers.select("customerID", "MonthlyCharges", "gender"))
     assert aligned.columns == ["customerID", *prep.feature_columns]
     assert aligned.agg(F.max("gender_Male")).first()[0] == 0
+
+
+def test_every_row_is_scored_once(spark):
+    rows = [(i, float(i % 7), float(i % 3), float(i % 7 > 3)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, y double")
+    holes = spark.createDataFrame([(100, None, 1.0), (101, float("nan"), 2.0), (102, 5.0, None)], "id long, a double, b double")
+    for classifier, filled in ((model.decision_tree(), 3), (model.logistic_regression(), 0)):
+        fitted, _ = model.fit_directly(df, classifier, ["a", "b"], "y", "id")
+        got = model.score(fitted, holes).collect()
+        assert sorted(r.id for r in got) == [100, 101, 102]
+        assert sum(r.prediction is not None and r.confidence is not None for r in got) == filled
+
+
+def penalised(x, y, C):
+    """Newton steps on sum of log losses + w^2 / (2 C), intercept free."""
+    w = b = 0.0
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-(w * x + b)))
+        g = np.array([((p - y) * x).sum() + w / C, (p - y).sum()])
+        v = p * (1 - p)
+        h = np.array([[(v * x * x).sum() + 1 / C, (v * x).sum()], [(v * x).sum(), v.sum()]])
+        w, b = np.array([w, b]) - np.linalg.solve(h, g)
+    return w
+
+
+@pytest.mark.parametrize("n", [40, 400])
+@pytest.mark.parametrize("C", [0.05, 2.0])
+def test_penalty_follows_the_fitted_rows(spark, n, C):
+    rows = [(i, (i % 10) / 3.0, float((i % 10) + (i % 3) > 6)) for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, x double, y double")
+    fitted, _ = model.fit_directly(df, model.logistic_regression(C=C, maxIter=500, tol=1e-10), ["x"], "y", "id")
+    x, y = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    assert fitted.stages[-1].coefficients[0] == pytest.approx(penalised(x, y, C), rel=1e-3)
+
+
+def test_all_grids_name_real_settings():
+    for build, grid, n in (
+        (model.random_forest, model.FOREST_GRID, 36), (model.logistic_regression, model.LOGISTIC_GRID, 6),
+        (model.boosted_trees, model.BOOSTER_GRID, 48), (model.decision_tree, model.TREE_GRID, 18),
+    ):
+        assert len(model.param_grid(build(), grid)) == n

@@ -67,11 +67,14 @@ def test_metrics_match_the_written_table(customers, tmp_path):
 
 
 def test_prepared_table_is_reused_until_settings_change(customers, tmp_path, monkeypatch):
-    spark, folder = customers.sparkSession, str(tmp_path)
-    first = plan.prepare_to_table(spark, customers, CHURN, folder).count()
+    spark, folder, raw = customers.sparkSession, str(tmp_path / "prepared"), str(tmp_path / "raw")
+    customers.write.parquet(raw)
+    first = plan.prepare_to_table(spark, spark.read.parquet(raw), CHURN, folder).count()
     with monkeypatch.context() as m:
         m.setattr(plan, "prepare", None)
-        assert plan.prepare_to_table(spark, customers, CHURN, folder).count() == first
+        assert plan.prepare_to_table(spark, spark.read.parquet(raw), CHURN, folder).count() == first
+    customers.limit(100).write.mode("append").parquet(raw)
+    assert plan.prepare_to_table(spark, spark.read.parquet(raw), CHURN, folder).count() > first
     other = dataclasses.replace(CHURN, max_outlier_columns=0)
     assert other.fingerprint() != CHURN.fingerprint()
     plan.prepare_to_table(spark, customers, other, folder)

@@ -16,11 +16,22 @@ def test_dummies_are_sorted_and_null_is_all_zero(spark):
     assert rows == [(1, 0, 0, 1), (2, 1, 0, 0), (3, 0, 0, 0), (4, 0, 1, 0)]
 
 
-def test_dummies_reject_unbounded_columns(spark, monkeypatch):
-    monkeypatch.setattr(stages, "MAX_CATEGORIES", 10)
+def test_dummies_reject_unbounded_columns(spark):
     df = spark.range(100).select(F.col("id").cast("string").alias("c"))
     with pytest.raises(ValueError, match="more than 10 categories"):
-        stages.DummyEncoder(inputCols=["c"]).fit(df)
+        stages.DummyEncoder(inputCols=["c"], maxDummies=10).fit(df)
+
+
+def test_indexer_takes_any_number_of_labels(spark):
+    df = spark.range(20_000).select(F.format_string("v%06d", "id").alias("c"), "id")
+    got = stages.CategoryIndexer(inputCols=["c"]).fit(df).transform(df)
+    assert got.filter("c != id").count() == 0 and got.count() == 20_000
+
+
+def test_stages_without_columns(spark):
+    df = spark.createDataFrame([(1, "a")], "id int, c string")
+    for stage in (stages.MedianImputer(inputCols=[]), stages.StandardScale(inputCols=[]), stages.MinMaxScale(inputCols=[]), stages.DummyEncoder(inputCols=[])):
+        assert stage.fit(df).transform(df).collect() == df.collect()
 
 
 def test_indexer_modes(spark):

@@ -104,16 +104,34 @@ def test_scored_records_as_messages(customers, fitted):
 
 
 def test_micro_batches_write_folders_and_summaries(spark, customers, fitted, tmp_path):
-    _, whole = fitted
+    prep, whole = fitted
     inbox = str(tmp_path / "inbox")
     good = customer_messages(customers)
     messages.write_messages(good.repartition(2), inbox)
     source = messages.file_stream(spark, inbox, "key string, value string", max_files=1)
-    records = decode.decode_records(source).filter("status = 'ok'")
-    scored = model.score(whole, records).select("customerID", "prediction", "positive_probability")
+    scored = scoring.score_ok_messages(source, whole)
     out, summary = str(tmp_path / "out"), str(tmp_path / "summary")
-    scoring.run_batches(scored, out, str(tmp_path / "cp"), summary)
+    scoring.run_batches(scored, out, str(tmp_path / "cp"), summary, labels=prep.labels)
     written, summed = spark.read.parquet(out), spark.read.parquet(summary)
     assert written.count() == good.count()
     assert written.select("batch_id").distinct().count() == summed.count() == 2
     assert summed.agg(F.sum("num_predictions")).first()[0] == good.count()
+    assert set(written.columns) == {"customer_id", "original_data", "prediction", "processed_at", "batch_id"}
+
+
+def test_null_fields_are_written_and_rejected(spark, fitted):
+    rows = spark.createDataFrame([(1, None, "x")], "id int, MonthlyCharges double, note string")
+    sent = messages.encode_envelope(rows, "id").first().value
+    assert json.loads(sent)["data"] == {"id": 1, "MonthlyCharges": None, "note": "x"}
+    got = decode.decode_records(spark.createDataFrame([(sent,)], "value string")).first()
+    assert got.status == "invalid"
+
+
+def test_values_unseen_in_training_are_scored(spark, customers, fitted):
+    prep, whole = fitted
+    sent = customer_messages(customers.limit(20)).withColumn(
+        "value", F.regexp_replace("value", '"Contract":"[^"]*"', '"Contract":"Never seen"')
+    )
+    scored = scoring.score_messages(sent, whole, labels=prep.labels)
+    assert scored.count() + scoring.rejected_messages(sent).count() == sent.count()
+    assert scored.filter("prediction.prediction NOT IN ('No', 'Yes')").count() == 0

@@ -38,6 +38,6 @@ catalogue = Catalogue()
 
 def load() -> Catalogue:
     """Import all modules that register queries."""
-    from catalogue import cleaning, encoding, modelling, profiling, sampling, streams  # noqa: F401
+    from catalogue import central, cleaning, encoding, modelling, profiling, sampling, streams  # noqa: F401
 
     return catalogue

@@ -285,7 +285,10 @@ def prep_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return prepare_with_metrics(raw_records(spark, folder), RAW_SPEC, new_path(spark, "prepared"), fit_scope="all")
 
 
-@catalogue.add()
+@catalogue.add(f"""
+SELECT o_orderkey, {dummies('o_orderstatus', ['F', 'O', 'P'])}, round((o_totalprice - low) / (high - low), 9) AS o_totalprice
+FROM orders, (SELECT min(o_totalprice) AS low, max(o_totalprice) AS high FROM orders)
+""")
 def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Saved and reloaded preparation gives the same rows as the fitted one."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
@@ -295,4 +298,5 @@ def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     ])
     path = new_path(spark, "preparation")
     fitted.write().overwrite().save(path)
-    return PipelineModel.load(path).transform(orders)
+    loaded = PipelineModel.load(path).transform(orders)
+    return loaded.withColumn("o_totalprice", F.round("o_totalprice", 9))

@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue import catalogue, table
+from catalogue.encoding import hash_split_sql
 from plumbline.operators import evaluate, model
 from plumbline.operators.sample import split_train_test
 from plumbline.operators.stages import DummyEncoder, StandardScale
 from plumbline.plans.score import batch_score as score_table
 from plumbline.plans.train import compare_models
-from plumbline.sources.scratch import materialize_once
+from plumbline.sources.scratch import materialize_once, new_path
 
 
 def ruled_labels(spark: SparkSession, folder: str) -> DataFrame:
@@ -101,11 +102,13 @@ def probability_format(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def document_features(spark: SparkSession, folder: str) -> DataFrame:
-    """Sizes of the whole text and language dummies for every document.
+    """Sizes of the whole text and language dummies of every document, with label and split where labelled.
 
-    The texts are measured once; fitting and scoring then read a few numbers.
+    The texts are measured once, into one table; dummies and scaler are fitted
+    on its training rows only.
     """
     words = F.split("text", " ")
+    labels = table(spark, folder, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     documents = table(spark, folder, "documents").select(
         "doc_id",
         F.col("n_chars").cast("double").alias("chars"),
@@ -113,52 +116,63 @@ def document_features(spark: SparkSession, folder: str) -> DataFrame:
         F.size(F.array_distinct(words)).cast("double").alias("distinct_words"),
         "lang",
     )
-    measured = materialize_once(documents, "document-sizes")
-    encoded = DummyEncoder(inputCols=["lang"]).fit(measured).transform(measured)
-    return StandardScale(inputCols=["chars", "words", "distinct_words"]).fit(encoded).transform(encoded)
+    rows = materialize_once(documents.join(split_train_test(labels, "doc_id", "label"), "doc_id", "left"), "document-sizes")
+    train = rows.filter("split = 'train'")
+    encoder = DummyEncoder(inputCols=["lang"]).fit(train)
+    scaler = StandardScale(inputCols=["chars", "words", "distinct_words"]).fit(train)
+    return scaler.transform(encoder.transform(rows))
 
 
 def feature_names(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c in ("chars", "words", "distinct_words") or c.startswith("lang_")]
 
 
-def labelled_features(spark: SparkSession, folder: str) -> DataFrame:
-    labels = table(spark, folder, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    rows = materialize_once(document_features(spark, folder).join(labels, "doc_id"), "labelled")
-    return split_train_test(rows, "doc_id", "label")
+TEST_ROWS = "WITH " + hash_split_sql("labels", "doc_id", "quality") + """
+SELECT doc_id, CAST(quality AS DOUBLE) AS label, true AS prediction_fits, true AS confidence_fits FROM assigned WHERE split = 'test'
+"""
+
+
+def checked(scored: DataFrame, *keep: str) -> DataFrame:
+    """What holds for every score: the prediction is the likelier class, the confidence its probability."""
+    p = F.col("positive_probability")
+    return scored.select(
+        *keep,
+        (F.col("prediction") == (p > 0.5).cast("double")).alias("prediction_fits"),
+        (F.abs(F.col("confidence") - F.greatest(p, 1 - p)) < 1e-9).alias("confidence_fits"),
+    )
 
 
 def scored_by(spark: SparkSession, folder: str, classifier: Estimator) -> DataFrame:
     """Fit on the balanced training rows, score the test rows."""
-    rows = labelled_features(spark, folder)
+    rows = document_features(spark, folder)
     fitted = model.BalancedClassifier(
         classifier=classifier, features=feature_names(rows), label="label", key="doc_id"
     ).fit(rows.filter("split = 'train'"))
-    scored = model.score(fitted, rows.filter("split = 'test'"))
-    return scored.select("doc_id", "label", "prediction", "positive_probability", "confidence")
+    return checked(model.score(fitted, rows.filter("split = 'test'")), "doc_id", "label")
 
 
-@catalogue.add()
+@catalogue.add(TEST_ROWS)
 def rf_score(spark: SparkSession, folder: str) -> DataFrame:
-    rows = labelled_features(spark, folder)
+    rows = document_features(spark, folder)
     fitted, _ = model.fit_directly(
         rows.filter("split = 'train'"), model.random_forest(), feature_names(rows), "label", "doc_id"
     )
-    scored = model.score(fitted, rows.filter("split = 'test'"))
-    return scored.select("doc_id", "label", "prediction", "positive_probability", "confidence")
+    path = new_path(spark, "forest")
+    model.save_model(fitted, path)
+    return checked(model.score(model.load_model(path), rows.filter("split = 'test'")), "doc_id", "label")
 
 
-@catalogue.add()
+@catalogue.add(TEST_ROWS)
 def gbt_score(spark: SparkSession, folder: str) -> DataFrame:
     return scored_by(spark, folder, model.boosted_trees(maxIter=20, maxDepth=5, stepSize=0.1))
 
 
-@catalogue.add()
+@catalogue.add(TEST_ROWS)
 def lr_score(spark: SparkSession, folder: str) -> DataFrame:
     return scored_by(spark, folder, model.logistic_regression(C=1.0, maxIter=1000))
 
 
-@catalogue.add()
+@catalogue.add(TEST_ROWS)
 def dt_score(spark: SparkSession, folder: str) -> DataFrame:
     return scored_by(spark, folder, model.decision_tree(maxDepth=8, minInstancesPerNode=5))
 
@@ -166,7 +180,7 @@ def dt_score(spark: SparkSession, folder: str) -> DataFrame:
 @catalogue.add()
 def grid_search(spark: SparkSession, folder: str) -> DataFrame:
     """Two model families, each searched with balancing inside the folds."""
-    rows = labelled_features(spark, folder)
+    rows = document_features(spark, folder)
     candidates = {
         "logistic_regression": (model.logistic_regression(maxIter=100), {"C": [0.1, 1.0, 10.0]}),
         "decision_tree": (model.decision_tree(), {"maxDepth": [5, 8], "impurity": ["gini", "entropy"]}),
@@ -174,15 +188,14 @@ def grid_search(spark: SparkSession, folder: str) -> DataFrame:
     return compare_models(rows, candidates, feature_names(rows), "label", "doc_id", folds=3)
 
 
-@catalogue.add()
+@catalogue.add("SELECT doc_id, true AS prediction_fits, true AS confidence_fits FROM documents")
 def batch_score(spark: SparkSession, folder: str) -> DataFrame:
-    """Fit on the labelled documents, score all documents."""
-    rows = labelled_features(spark, folder)
+    """Fit on the balanced training documents, score all documents."""
+    rows = document_features(spark, folder)
     fitted = model.BalancedClassifier(
         classifier=model.decision_tree(maxDepth=8, minInstancesPerNode=5),
         features=feature_names(rows),
         label="label",
         key="doc_id",
-    ).fit(rows)
-    scored = score_table(document_features(spark, folder), fitted, "doc_id")
-    return scored.select("doc_id", "prediction", "positive_probability", "confidence")
+    ).fit(rows.filter("split = 'train'"))
+    return checked(score_table(rows, fitted, "doc_id"), "doc_id")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue import catalogue, table
-from catalogue.modelling import document_features, feature_names, labelled_features
+from catalogue.modelling import document_features, feature_names
 from plumbline.operators import model, topics
 from plumbline.sources.messages import encode_envelope, file_stream, run_to_files, with_file_metadata, write_messages
 from plumbline.sources.scratch import new_path
@@ -27,12 +27,13 @@ def stream_source(spark: SparkSession, folder: str) -> DataFrame:
 
 @catalogue.add("""
 SELECT CAST(event_id AS VARCHAR) AS key, CAST(json_object('timestamp', CAST(ts AS VARCHAR),
-  'data', json_object('event_id', event_id, 'user_id', user_id, 'event_type', event_type)) AS VARCHAR) AS value
+  'data', json_object('event_id', event_id, 'user_id', user_id, 'event_type', nullif(event_type, 'error'))) AS VARCHAR) AS value
 FROM events
 """)
 def envelope_encode(spark: SparkSession, folder: str) -> DataFrame:
+    events = table(spark, folder, "events").withColumn("event_type", F.nullif("event_type", F.lit("error")))
     return encode_envelope(
-        table(spark, folder, "events"), "event_id", "event_id", "user_id", "event_type", timestamp="ts"
+        events, "event_id", "event_id", "user_id", "event_type", timestamp="ts"
     )
 
 
@@ -157,21 +158,23 @@ def batch_progress(spark: SparkSession, folder: str) -> DataFrame:
     return topics.batch_progress(scored)
 
 
-@catalogue.add()
+@catalogue.add("SELECT CAST(doc_id AS VARCHAR) AS customer_id, true AS prediction_fits, true AS probability_fits FROM documents")
 def stream_score(spark: SparkSession, folder: str) -> DataFrame:
     """All documents as enveloped messages, scored by one streaming query."""
-    rows = labelled_features(spark, folder)
+    rows = document_features(spark, folder)
     names = feature_names(rows)
     fitted = model.BalancedClassifier(
         classifier=model.decision_tree(maxDepth=8, minInstancesPerNode=5), features=names, label="label", key="doc_id"
-    ).fit(rows)
+    ).fit(rows.filter("split = 'train'"))
     inbox = new_path(spark, "inbox")
-    write_messages(encode_envelope(document_features(spark, folder), "doc_id", "doc_id", *names), inbox)
+    write_messages(encode_envelope(rows, "doc_id", "doc_id", *names), inbox)
     fields = {"doc_id": ("bigint", 0), **{n: ("double", 0.0) for n in names}}
     messages = file_stream(spark, inbox, "key string, value string")
     scored = score_messages(messages, fitted, "doc_id", ["bad", "good"], fields, names)
     path = new_path(spark, "scored")
     run_scoring(scored, path, new_path(spark, "scored-position"))
     return spark.read.parquet(path).select(
-        "customer_id", F.col("prediction.prediction").alias("prediction"), F.col("prediction.probability").alias("probability")
+        "customer_id",
+        F.col("prediction.prediction").isin("bad", "good").alias("prediction_fits"),
+        F.col("prediction.probability").endswith("%").alias("probability_fits"),
     )

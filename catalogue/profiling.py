@@ -69,6 +69,17 @@ def top_values(spark: SparkSession, folder: str) -> DataFrame:
     return profile.top_values(table(spark, folder, "part"), "p_brand", 10)
 
 
+TOP_COLUMNS = ["p_brand", "p_type", "p_size"]
+
+
+@catalogue.add(" UNION ALL ".join(f"""
+SELECT * FROM (SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS value, count(*) AS count,
+  CAST(row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) AS INTEGER) AS rank FROM part GROUP BY {c})
+WHERE rank <= 10""" for c in TOP_COLUMNS))
+def top_values_of_all(spark: SparkSession, folder: str) -> DataFrame:
+    return profile.top_values_of_all(table(spark, folder, "part"), TOP_COLUMNS, 10)
+
+
 PROFILED = ["o_orderkey", "o_custkey", "o_totalprice"]
 
 
@@ -162,6 +173,16 @@ def chi2_test(spark: SparkSession, folder: str) -> DataFrame:
     return out
 
 
+@catalogue.add(
+    "SELECT dof, round(exp(-stat / 2) * (1 + stat / 2 + pow(stat / 2, 2) / 2 + pow(stat / 2, 3) / 6), 5) AS p_value FROM ("
+    + CHI2.format(name="orders", a="o_orderpriority", b="o_orderstatus", source="orders") + ")"
+)
+def chi2_p_value(spark: SparkSession, folder: str) -> DataFrame:
+    """Eight degrees of freedom, where the tail has a closed form."""
+    test = stats.chi2_test(table(spark, folder, "orders"), "o_orderpriority", "o_orderstatus")
+    return test.select("dof", F.round("p_value", 5).alias("p_value"))
+
+
 @catalogue.add("""
 WITH m AS (
   SELECT count(l_extendedprice) FILTER (l_linestatus = 'F') AS n1, count(l_extendedprice) FILTER (l_linestatus = 'O') AS n2,

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from itertools import combinations
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import (
@@ -25,6 +25,9 @@ from plumbline.functions.quantiles import exact_quantiles
 from plumbline.operators.outliers import IQR_FACTOR
 
 
+TOP_BLOCKS = 64
+
+
 def missing_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Missing values per column, without and with white-space-only text."""
     names = list(columns or df.columns)
@@ -83,6 +86,19 @@ def top_values(df: DataFrame, column: str, n: int = 10) -> DataFrame:
     return counts.orderBy(F.desc("count"), F.asc_nulls_last("value")).limit(n)
 
 
+def top_values_of_all(df: DataFrame, columns: Sequence[str], n: int = 10) -> DataFrame:
+    """``column, value, count, rank``: the ``n`` most frequent values of every column in one job, ties by value.
+
+    Each of TOP_BLOCKS parts of a column's values keeps its own first ``n``, so
+    the values of a column are never ordered in one task.
+    """
+    order = [F.desc("count"), F.asc_nulls_last("value")]
+    counts = category_counts(df, columns).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(TOP_BLOCKS)))
+    rank = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    few = counts.withColumn("rank", rank("column", "part")).filter(F.col("rank") <= n)
+    return few.withColumn("rank", rank("column")).filter(F.col("rank") <= n).select("column", "value", "count", "rank")
+
+
 def table_profile(df: DataFrame) -> DataFrame:
     """Row count and describe-style statistics of every numeric column, long form."""
     names = numeric_columns(df)
@@ -193,8 +209,8 @@ def box_summary(df: DataFrame, columns: Sequence[str], factor: float = IQR_FACTO
 def kde_grid(df: DataFrame, column: str, points: int = 200, cut: float = 3.0) -> DataFrame:
     """Gaussian density on an even grid, Scott bandwidth, exact.
 
-    Equal values are counted first, so only distinct values meet the grid, and
-    the sums per grid point combine on the map side.
+    One pass keeps a sum per grid point in every task; what is shuffled is one
+    number per point and task, whatever the number of rows.
     """
     require_columns(df, [column])
     values = df.select(clean_double(df, column).alias("v")).filter(F.col("v").isNotNull())
@@ -211,13 +227,16 @@ def kde_grid(df: DataFrame, column: str, points: int = 200, cut: float = 3.0) ->
     start = moments["low"] - cut * width
     step = (moments["high"] + cut * width - start) / (points - 1)
 
-    distinct = values.groupBy("v").agg(F.count("*").alias("weight"))
-    x = F.lit(start) + F.col("grid_id") * F.lit(step)
-    z = (x - F.col("v")) / F.lit(width)
     scale = 1.0 / (n * width * 2.5066282746310002)
-    return (
-        distinct.select("v", "weight", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("grid_id"))
-        .groupBy("grid_id")
-        .agg((F.sum(F.col("weight") * F.exp(-0.5 * z * z)) * F.lit(scale)).alias("density"))
-        .select("grid_id", x.alias("x"), "density")
-    )
+
+    def kernel(i: int) -> Column:
+        z = (F.lit(start + i * step) - F.col("v")) / F.lit(width)
+        return F.sum(F.exp(-0.5 * z * z)).alias(f"s{i}")
+
+    sums = values.agg(*map(kernel, range(points)))
+    return sums.select(F.inline(F.array(*[
+        F.struct(
+            F.lit(i).alias("grid_id"), F.lit(start + i * step).alias("x"), (F.col(f"s{i}") * F.lit(scale)).alias("density")
+        )
+        for i in range(points)
+    ])))

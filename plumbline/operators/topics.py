@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+PROGRESS_BLOCK = 10_000
+
 
 def message_counts(messages: DataFrame) -> DataFrame:
     """Messages and offset range per topic and partition."""
@@ -58,12 +60,23 @@ def replay_range(messages: DataFrame, start: int | None = None, end: int | None
 
 
 def batch_progress(scored: DataFrame, batch: str = "batch_id", ok: str = "ok") -> DataFrame:
-    """Total, processed and failed rows per batch, with the running number processed."""
+    """Total, processed and failed rows per batch number, with the running number processed.
+
+    Batches are summed in blocks of PROGRESS_BLOCK first: a window covers one
+    block, or one row for each block.
+    """
     per_batch = scored.groupBy(batch).agg(
         F.count("*").alias("total"),
         F.count_if(F.col(ok)).alias("processed"),
         F.count_if(~F.col(ok)).alias("failed"),
     )
-    # one small row per micro-batch remains, so one ordered pass is enough
-    running = Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, 0)
-    return per_batch.withColumn("running_processed", F.sum("processed").over(running))
+    blocked = per_batch.withColumn("_block", F.floor(F.col(batch) / PROGRESS_BLOCK))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocked.groupBy("_block").agg(F.sum("processed").alias("_sum"))
+    before = blocks.select("_block", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    running = Window.partitionBy("_block").orderBy(batch).rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        blocked.join(before, "_block")
+        .withColumn("running_processed", F.col("_before") + F.sum("processed").over(running))
+        .drop("_block", "_before")
+    )

@@ -19,11 +19,13 @@ ORDERS = (2, 3, 4)
 DIMENSIONS = 16
 SAMPLE_PER_LANGUAGE = 1000
 EPOCHS = 12
+MIN_STEPS = 400  # a small sample is gone through more often
 BATCH = 64
 PRIOR = 10  # n-grams without an opinion that every text gets, so that short texts stay unsure
 RATE = 0.5
 EMBED_RATE = 100.0
 REJECT_SHARE = 0.001
+REJECT_BELOW = 0.5
 NO_LANGUAGE = "und"
 
 _LETTERS = np.zeros(256, bool)
@@ -128,8 +130,8 @@ def train_language_model(
 
     The driver gets at most ``per_language`` sparse rows of at most BUCKETS
     counts for each language. Every fifth row is left out of the descent; on
-    these the temperature is chosen by likelihood, and the threshold so that it
-    rejects at most REJECT_SHARE of what is predicted rightly.
+    these the temperature is chosen by likelihood. The threshold is REJECT_BELOW,
+    or less if that would reject over REJECT_SHARE of what is predicted rightly.
     """
     features = sample_features(docs, key, text_col, lang_col, per_language)
     rows = sorted(features.collect(), key=lambda r: (r["draw"], r["same"], r["lang"])) if features is not None else []
@@ -148,13 +150,14 @@ def fit(rows: list, epochs: int = EPOCHS, seed: int = 7) -> LanguageModel:
     weight = rng.normal(0, 0.1, (DIMENSIONS, len(languages))).astype(np.float32)
     bias = np.zeros(len(languages), np.float32)
     batches = -(-len(fit) // BATCH)
+    epochs = max(epochs, -(-MIN_STEPS // batches))
     for epoch in range(epochs):
         order = rng.permutation(fit)
         for b in range(batches):
             take = order[b * BATCH : (b + 1) * BATCH]
             x = dense([rows[i] for i in take], 0, len(take))
             mean = x @ embed
-            error = softmax(mean @ weight + bias)
+            error = softmax(mean @ weight + bias).astype(np.float32)
             error[np.arange(len(take)), truth[take]] -= 1
             rate = RATE * (1 - (epoch * batches + b) / (epochs * batches))
             back = error @ weight.T
@@ -177,7 +180,7 @@ def fit(rows: list, epochs: int = EPOCHS, seed: int = 7) -> LanguageModel:
     model.temperature = float(min(loss, key=loss.get))
     p = softmax(logits / model.temperature)
     right = p.max(axis=1)[p.argmax(axis=1) == truth[left]]
-    model.threshold = float(min(0.9, np.quantile(right, REJECT_SHARE, method="lower"))) if len(right) else 1.0
+    model.threshold = float(min(REJECT_BELOW, np.quantile(right, REJECT_SHARE, method="lower"))) if len(right) else 1.0
     return model
 
 

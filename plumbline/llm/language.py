@@ -105,7 +105,7 @@ def sample_features(docs: DataFrame, key: Column, text_col: str, lang_col: str,
             cuts = np.searchsorted(keys, np.arange(len(at)) * BUCKETS)
             packed = [
                 pa.array([v[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
-                for v in ((keys % BUCKETS).astype(np.int32), n.astype(np.int32))
+                for v in ((keys % BUCKETS).astype(np.uint16), n.astype(np.int32))
             ]
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], *packed], names=["lang", "draw", "same", "buckets", "counts"])
 
@@ -118,7 +118,7 @@ def dense(rows: list, lo: int, hi: int) -> np.ndarray:
     x = np.zeros((hi - lo, BUCKETS), np.float32)
     for i, r in enumerate(rows[lo:hi]):
         c = np.frombuffer(r["counts"], np.int32).astype(np.float32)
-        x[i, np.frombuffer(r["buckets"], np.int32)] = c / (c.sum() + PRIOR)
+        x[i, np.frombuffer(r["buckets"], np.uint16)] = c / (c.sum() + PRIOR)
     return x
 
 
@@ -128,16 +128,28 @@ def train_language_model(
 ) -> LanguageModel:
     """Fits embeddings and softmax by stochastic gradient descent on a bounded sample.
 
-    The driver gets at most ``per_language`` sparse rows of at most BUCKETS
-    counts for each language. Every fifth row is left out of the descent; on
+    One task gets at most ``per_language`` sparse rows of at most BUCKETS counts
+    for each language; the driver gets the finished model. Every fifth row is left out of the descent; on
     these the temperature is chosen by likelihood. The threshold is REJECT_BELOW,
     or less if that would reject over REJECT_SHARE of what is predicted rightly.
     """
     features = sample_features(docs, key, text_col, lang_col, per_language)
-    rows = sorted(features.collect(), key=lambda r: (r["draw"], r["same"], r["lang"])) if features is not None else []
-    if not rows:
+    if features is None:
         return LanguageModel([], np.zeros((0, BUCKETS)), np.zeros(0), 1.0, 1.0)
-    return fit(rows, epochs, seed)
+
+    def fit_sample(group: pa.Table) -> pa.Table:
+        rows = sorted(group.to_pylist(), key=lambda r: (r["draw"], r["same"], r["lang"]))
+        model = fit(rows, epochs, seed)
+        return pa.table({
+            "languages": pa.array([model.languages], pa.list_(pa.string())), "scores": pa.array([model.scores.tobytes()], pa.binary()),
+            "bias": pa.array([model.bias.tolist()], pa.list_(pa.float64())), "temperature": [model.temperature], "threshold": [model.threshold],
+        })
+
+    found = features.withColumn("all", F.lit("all")).groupBy("all").applyInArrow(
+        fit_sample, "languages array<string>, scores binary, bias array<double>, temperature double, threshold double"
+    ).first()
+    scores = np.frombuffer(found["scores"], np.float32).reshape(len(found["languages"]), BUCKETS)
+    return LanguageModel(list(found["languages"]), scores, np.array(found["bias"]), found["temperature"], found["threshold"])
 
 
 def fit(rows: list, epochs: int = EPOCHS, seed: int = 7) -> LanguageModel:

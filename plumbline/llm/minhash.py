@@ -22,6 +22,9 @@ BANDS = 32
 ROWS = BUCKETS // BANDS
 MARGIN = 0.2  # five standard deviations of the estimate at 0.75
 SMALL_BUCKET = 64
+BLOCK = 2048
+BLOCK_SHINGLES = 1 << 19
+SIZE_STEP = 1.34  # a little over 100 / PERCENT: sizes of a link are in the same class or in adjacent ones
 
 # donors of empty buckets: every bucket asks the others in its own random order
 _DONORS = np.stack([np.random.default_rng(b).permutation(BUCKETS) for b in range(BUCKETS)])
@@ -134,6 +137,101 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return sides.mapInArrow(run, "a bigint, b bigint")
 
 
+def cells_of(open_: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(key, a, b, side, id, label, n): members of buckets dealt to cells so that any two of different labels that sizes allow meet in one.
+
+    A bucket is cut by size class, and a label with BLOCK members of a class has
+    blocks of its own. A cell is two blocks of the same or of adjacent classes, or
+    one with itself; blocks of one label alone do not meet. So a bucket that is
+    nearly one component costs its members times the few others.
+    """
+    sized = open_.select("key", "id", "label").join(sizes, "id").withColumn("size", F.floor(F.log(F.col("n")) / F.log(F.lit(SIZE_STEP))))
+    groups = sized.groupBy("key", "size", "label").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
+    groups = checkpointed(groups.withColumn("owner", F.when(F.col("members") >= BLOCK, F.col("label"))))
+    counts = groups.groupBy("key", "size", "owner").agg(
+        F.greatest(F.ceil(F.sum("members") / BLOCK), F.ceil(F.sum("shingles") / BLOCK_SHINGLES)).alias("count")
+    )
+    number = F.xxhash64("size", F.col("owner").isNull(), "owner", "block")
+    blocks = counts.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("block")).select("key", "size", "owner", number.alias("a"))
+    other = blocks.toDF("key", "other_size", "other_owner", "b")
+    apart = F.col("owner").isNull() | F.col("other_owner").isNull() | (F.col("owner") != F.col("other_owner"))
+    ordered = (F.col("other_size") == F.col("size") + 1) | ((F.col("other_size") == F.col("size")) & (F.col("a") <= F.col("b")))
+    cells = checkpointed(blocks.join(other, "key").where(ordered & apart).select("key", "a", "b"))
+    placed = (
+        sized.join(groups.select("key", "size", "label", "owner"), ["key", "size", "label"])
+        .join(counts.withColumnRenamed("owner", "of"), ["key", "size"]).where(F.col("owner").eqNullSafe(F.col("of")))
+        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("count")))
+        .select("key", "id", "label", "n", number.alias("mine"))
+    )
+    placed = checkpointed(placed)
+    first = placed.join(cells.withColumn("mine", F.col("a")), ["key", "mine"]).withColumn("side", F.lit(0))
+    second = placed.join(cells.where("a != b").withColumn("mine", F.col("b")), ["key", "mine"]).withColumn("side", F.lit(1))
+    return first.union(second).select("key", "a", "b", "side", "id", "label", "n")
+
+
+def candidates(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For a cell: its rows on both sides, which of their pairs are candidates, and the labels of all rows."""
+    side, label, n = (table.column(c).to_numpy() for c in ("side", "label", "n"))
+    registers = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(-1, BUCKETS)
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    alone = not (side == 1).any() and table.column("a")[0] == table.column("b")[0]
+    right = left if alone else right
+    agree = np.zeros((len(left), len(right)), np.uint8)
+    for x, y in zip(registers[left].T.copy(), registers[right].T.copy(), strict=True):
+        agree += x[:, None] == y
+    enough = np.clip((np.arange(BUCKETS + 1) / BUCKETS - COLLISION) / (1 - COLLISION), 0, 1) >= PERCENT / 100 - MARGIN
+    x, y = n[left][:, None], n[right]
+    near = enough[agree] & (label[left][:, None] != label[right]) & (np.minimum(x, y) * 100 >= np.maximum(x, y) * PERCENT)
+    return left, right, np.triu(near) if alone else near, label
+
+
+def promising(table: pa.Table) -> pa.Table:
+    """The rows of a cell that have a candidate in it."""
+    left, right, near, _ = candidates(table)
+    rows = np.union1d(left[near.any(axis=1)], right[near.any(axis=0)])
+    return table.take(pa.array(rows)).select(["key", "a", "b", "side", "id", "label", "n", "sketch"])
+
+
+def cell_links(table: pa.Table) -> pa.Table:
+    """Links (a, b) that join the labels of a cell as all its links would: candidates are verified unless earlier links join them."""
+    left, right, near, label = candidates(table)
+    ids = table.column("id").to_numpy()
+    sets = shingle_sets(table.column("text").combine_chunks())
+    size = np.array([len(s) for s in sets])
+    distinct, place = np.unique(np.concatenate(sets), return_inverse=True)
+    places = np.split(place, np.cumsum(size)[:-1])
+    marked = np.zeros(len(distinct), bool)
+    label, found = label.copy(), []
+    for i, x in enumerate(left):
+        some = right[near[i]]
+        if not len(some):
+            continue
+        marked[places[x]] = True
+        for y in some:
+            if label[x] != label[y]:
+                both = int(np.count_nonzero(marked[places[y]]))
+                if 100 * both >= PERCENT * int(size[x] + size[y] - both):
+                    label[label == label[y]] = label[x]
+                    found.append(sorted((int(ids[x]), int(ids[y]))))
+        marked[places[x]] = False
+    return pa.table({k: pa.array([f[i] for f in found], pa.int64()) for i, k in enumerate(("a", "b"))})
+
+
+def links_of_large_buckets(open_: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links that join the labels of the open buckets (key, id, label) as all links inside them would.
+
+    Members meet cell by cell on their sketches; those with a candidate meet
+    again with their texts. Pairs stay inside the tasks: a cell returns fewer
+    links than it has rows.
+    """
+    cell = ["key", "a", "b"]
+    dealt = cells_of(open_, sketches.select("id", "n")).join(sketches.select("id", "sketch"), "id")
+    schema = "key bigint, a bigint, b bigint, side int, id bigint, label bigint, n bigint, sketch binary"
+    kept = checkpointed(dealt.groupBy(*cell).applyInArrow(promising, schema))
+    texts = prune(texts, F.col("id"), kept, F.col("id"))
+    return checkpointed(kept.join(texts, "id").groupBy(*cell).applyInArrow(cell_links, "a bigint, b bigint").distinct())
+
+
 def near_duplicates(
     docs: DataFrame, keep: list[str] | None = None, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
@@ -144,10 +242,11 @@ def near_duplicates(
     candidates if their sketches agree in a band. In every bucket of a band all
     members are first compared with the smallest id; candidates pass the size
     bound and the sketch estimate, then their full sets decide. Buckets whose
-    members are still in several components follow: small ones with all pairs
-    across components, large ones with a random member of each round against the
-    members of other components, until a round finds no link. So the work per
-    bucket stays linear in its members.
+    members are still in several components follow with all pairs across
+    components: small ones by a join, large ones block by block inside tasks. So
+    every candidate that no other links join is decided by its sets. The work of
+    a large bucket of many components grows with the square of its members, its
+    rows with the members times the blocks of BLOCK members.
 
     A pair at exactly 0.75 shares no band with a chance of 5 in a million.
 
@@ -174,26 +273,18 @@ def near_duplicates(
 
     tried = checkpointed(hits.where("id != c").select(F.col("c").alias("a"), F.col("id").alias("b")).distinct())
     links = linked(tried)
-    round_ = 0
-    while True:
-        found = checkpointed(connected_components(links))
-        labelled = hits.join(found, "id", "left").select("key", "id", "members", F.coalesce("component", "id").alias("label"))
-        mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("key")
-        open_ = checkpointed(labelled.join(mixed, "key"))
-        draw = F.xxhash64("id", F.lit(round_))
-        large = open_.where(F.col("members") > SMALL_BUCKET)
-        chosen = large.groupBy("key").agg(F.min_by("id", draw).alias("x"), F.min_by("label", draw).alias("lx"))
-        pairs = large.join(chosen, "key").where("label != lx").select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b"))
-        if round_ == 0:
-            small = open_.where(F.col("members") <= SMALL_BUCKET)
-            other = small.select("key", F.col("id").alias("b"), F.col("label").alias("lb"))
-            across = small.join(other, "key").where("id < b and label != lb").select(F.col("id").alias("a"), "b")
-            pairs = pairs.union(across)
-        pairs = checkpointed(pairs.distinct().join(tried, ["a", "b"], "left_anti"))
-        more = linked(pairs)
-        if more.isEmpty():
-            break
-        links, tried, round_ = checkpointed(links.union(more)), checkpointed(tried.union(pairs)), round_ + 1
+    found = checkpointed(connected_components(links))
+    labelled = hits.join(found, "id", "left").select("key", "id", "members", F.coalesce("component", "id").alias("label"))
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("key")
+    open_ = checkpointed(labelled.join(mixed, "key"))
+    small, large = open_.where(F.col("members") <= SMALL_BUCKET), open_.where(F.col("members") > SMALL_BUCKET)
+    other = small.select("key", F.col("id").alias("b"), F.col("label").alias("lb"))
+    across = small.join(other, "key").where("id < b and label != lb").select(F.col("id").alias("a"), "b")
+    more = linked(checkpointed(across.distinct().join(tried, ["a", "b"], "left_anti")))
+    if not large.isEmpty():
+        more = more.union(links_of_large_buckets(large, sketches, narrow))
+    if not more.isEmpty():
+        found = checkpointed(connected_components(links.union(more)))
     component = checkpointed(
         groups.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("f1", "f2", F.coalesce("component", "rep").alias("component"))
     )

@@ -75,6 +75,40 @@ def test_groups_equal_all_pairs(spark, seed):
     assert [(r.component_id, r.kept) for r in got if r.doc_id is None] == [(None, None)]
 
 
+def passage_corpus(seed, documents, links):
+    """Documents around one passage, and pairs of 0.75 to 0.88 similarity among them."""
+    rng = random.Random(seed)
+    fresh = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    passage = fresh(304)
+    docs = [" ".join([*passage, *fresh(rng.randrange(110, 200))]) for _ in range(documents)]
+    for _ in range(links):
+        docs += [" ".join([*passage, *fresh(20)]), " ".join([*passage, *fresh(rng.choice([20, 30, 60]))])]
+        own = fresh(160)
+        docs += [" ".join([*passage, *own]), " ".join([*passage, *own[:130], *fresh(30)])]
+    rng.shuffle(docs)
+    return list(enumerate(docs))
+
+
+@pytest.mark.parametrize(("block", "bucket"), [(minhash.BLOCK, minhash.SMALL_BUCKET), (16, 4)])
+def test_links_in_large_mixed_buckets(spark, monkeypatch, block, bucket):
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "SMALL_BUCKET", bucket)
+    docs = passage_corpus(block, 700 if block > 16 else 150, 3)
+    got = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
+    want = brute(docs)
+    assert len({c for _, c in want.values()}) < len(docs)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_blocks_equal_all_pairs(spark, monkeypatch, seed):
+    monkeypatch.setattr(minhash, "BLOCK", 5)
+    monkeypatch.setattr(minhash, "SMALL_BUCKET", 2)
+    docs = corpus(seed)
+    got = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(docs)
+
+
 def test_no_documents(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from plumbline.llm.shared import checkpointed, prune
 
 MIN_CHARS = 40
+EXACT_CHARS = 12  # a few words
 EDITS = 1
 SMALL_GROUP = 32
 WHITE = " \t\r"
@@ -163,15 +164,18 @@ def near_lines(lines: DataFrame) -> DataFrame:
 
 
 def dedup_lines(
-    docs: DataFrame, keep: list[str] | None = None, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, keep: list[str] | None = None, min_chars: int | None = None, id_col: str = "doc_id", text_col: str = "text",
+    exact_chars: int | None = None,
 ) -> DataFrame:
     """Documents without the lines that stand earlier, in an equal or nearly equal form.
 
     Lines end at newlines; white space around them does not count. Lines of
-    ``min_chars`` characters or more are compared. One goes if the same line, or
-    one an edit away (a character more, less or other), stands earlier: in a
-    document of smaller id, or above it. Shorter lines always stay. Of a chain of
-    near lines only the first stays, since each has an earlier one beside it.
+    ``exact_chars`` characters or more go if the same line stands earlier: in a
+    document of smaller id, or above it. Those of ``min_chars`` or more go also if
+    a line of that size one edit away (a character more, less or other) stands
+    earlier. By default that is EXACT_CHARS and MIN_CHARS; ``min_chars`` alone
+    holds for both. Shorter lines always stay. Of a chain of near lines only the
+    first stays, since each has an earlier one beside it.
 
     Equal lines meet by a 128-bit hash, near ones by a shared half; groups that
     share a half are paired if they are small and resolved by the other half
@@ -185,13 +189,16 @@ def dedup_lines(
     document: they are treated alike, and lines of it elsewhere go. A row
     without an id counts as the last one.
     """
+    if exact_chars is None:
+        exact_chars = EXACT_CHARS if min_chars is None else min_chars
+    min_chars = MIN_CHARS if min_chars is None else min_chars
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("n_lines", "n_removed")]
     narrow = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit((1 << 63) - 1)).alias("id"), F.col(text_col).alias("text"))
-    lines = lines_of(narrow.where("text is not null"), min_chars)
+    lines = lines_of(narrow.where("text is not null"), min(exact_chars, min_chars))
     place = F.struct("id", "same", "no")
-    twice = lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "first")
+    twice = lines.where(F.length("line") >= exact_chars).groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "first")
     twice = checkpointed(twice)
-    near = checkpointed(near_lines(lines))
+    near = checkpointed(near_lines(lines.where(F.length("line") >= min_chars)))
     spots = lines.select("id", "same", "no", "h1", "h2")
     again = spots.join(twice, ["h1", "h2"]).where(place != F.col("first")).select("id", "same", "no")
     gone = again.union(spots.join(near, "h1").select("id", "same", "no"))

@@ -75,6 +75,15 @@ def test_many_lines_that_share_a_half(spark):
     assert got(spark, docs, 20) == brute(docs, 20)
 
 
+def test_short_lines_go_if_equal(spark):
+    short, long = "And therhean is the is esndha.", "a line of more than forty characters that is near"
+    docs = [(1, f"{short}\nOk.\n{long}"), (2, f"{short}\nOk.\n{short[:-1]}\n{long}s"), (3, f"kept\n {short}\n{'x' * 11}\n{'x' * 12}"), (4, f"{'x' * 11}\n{'x' * 12}")]
+    found = lines.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in found} == {
+        1: docs[0][1], 2: f"Ok.\n{short[:-1]}", 3: f"kept\n{'x' * 11}\n{'x' * 12}", 4: "x" * 11
+    }
+
+
 def test_nothing(spark):
     assert got(spark, [], 40) == []
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import codes, language, lines, minhash, mixing, ngram, packing, preference, repetition, template
+from plumbline.llm import codes, language, lines, minhash, mixing, ngram, packing, periodic, preference, repetition, template, urls, whitening
 
 QUERIES = {}
 SQL = {}
@@ -152,3 +152,48 @@ SELECT chosen_id, rejected_id, n_common,
   coalesce(list_sum(list_transform(list_filter(y, lambda t: t.role = 'assistant'), lambda t: length(replace(t.text, '<|', '< |')) + 8)), 0)::BIGINT AS rejected_trained
 FROM parts
 """
+
+
+# Verdicts by host and path.
+URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+
+
+@query
+def op11_url_templates(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge_urls(table(spark, folder, "pages").select("page_id", "url"), URL_RULES, keep=["page_id"])
+
+
+SQL["op11_url_templates"] = urls.judge_sql(URL_RULES)
+
+
+@query
+def op12_whiten(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten_vectors(table(spark, folder, "embeddings"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Every tenth document by its id's checksum with its words from one place on repeated periodically."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n, a, p = F.col("__n"), F.col("__a"), F.col("__p")
+    g = F.floor(h / 10)
+    planted = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get("__words", F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
+    return (
+        docs.withColumn("__words", F.when(h % 10 == 0, words)).withColumn("__n", F.size("__words").cast("long"))
+        .withColumn("__a", F.when(n > 0, g % n)).withColumn("__p", 1 + F.floor((n - a) / (3 + g % 8)))
+        .withColumn("text", F.when(n > 0, F.array_join(planted, " ")).otherwise(F.col("text")))
+        .drop("__words", "__n", "__a", "__p")
+    )
+
+
+@query
+def op13_periodic(spark: SparkSession, folder: str) -> DataFrame:
+    docs = with_planted_runs(table(spark, folder, "documents").select("doc_id", "text"))
+    found = periodic.periodic_runs(docs, keep=["doc_id"])
+    best = F.get(F.sort_array(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period")))), F.lit(0))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), (-F.col("best.less")).alias("length"),
+        F.col("best.period").alias("period"), F.floor(-1000 * F.col("best.less") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words",
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from plumbline.llm.arrow import with_measures
 from plumbline.llm.components import connected_components
-from plumbline.llm.shared import checkpointed, prune
+from plumbline.llm.shared import checkpointed, join_back, prune
 from plumbline.llm.text import CHUNK_BYTES, mix, rolling, word_hashes
 
 SHINGLE = 5
@@ -117,11 +117,20 @@ def similar_by_sketch(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return sides.mapInArrow(run, "a bigint, b bigint")
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) that share PERCENT of their shingles, by full sets from the texts (id, text)."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-    texts = prune(texts, F.col("id"), ends, F.col("id"))
-    sides = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
+def texts_for(named: DataFrame, ids: list[str], texts: DataFrame) -> DataFrame:
+    """The texts (id, th, text) of the documents that columns ``ids`` name, before a join on them."""
+    ends = named.select(F.explode(F.array(*ids)).alias("id"))
+    return prune(texts, F.col("id"), ends, F.col("id"))
+
+
+def verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) that share PERCENT of their shingles, by the full sets of the texts that stand for them."""
+    named = pairs
+    for side in ("a", "b"):
+        named = named.join(reps.select(F.col("id").alias(side), F.col("doc").alias(f"d{side}"), F.col("th").alias(f"h{side}")), side)
+    named = checkpointed(named)
+    texts = texts_for(named, ["da", "db"], texts)
+    sides = named.join(texts.toDF("da", "ha", "ta"), ["da", "ha"]).join(texts.toDF("db", "hb", "tb"), ["db", "hb"]).select("a", "b", "ta", "tb")
 
     def run(batches):
         for batch in batches:
@@ -137,38 +146,62 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return sides.mapInArrow(run, "a bigint, b bigint")
 
 
+ANY = -1
+
+
 def cells_of(open_: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(key, a, b, side, id, label, n): members of buckets dealt to cells so that any two of different labels that sizes allow meet in one.
+    """(key, a, b, side, id, label, n): members of groups (key, part, id, label) dealt to cells so that any two that may be linked meet in one.
 
-    A bucket is cut by size class, and a label with BLOCK members of a class has
-    blocks of its own. A cell is two blocks of the same or of adjacent classes, or
-    one with itself; blocks of one label alone do not meet. So a bucket that is
-    nearly one component costs its members times the few others.
+    A group is cut by size class and part; a cell is two blocks of the same or of
+    adjacent classes, or one with itself. Blocks of one part do not meet, but for
+    the part ANY.
     """
-    sized = open_.select("key", "id", "label").join(sizes, "id").withColumn("size", F.floor(F.log(F.col("n")) / F.log(F.lit(SIZE_STEP))))
-    groups = sized.groupBy("key", "size", "label").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
-    groups = checkpointed(groups.withColumn("owner", F.when(F.col("members") >= BLOCK, F.col("label"))))
-    counts = groups.groupBy("key", "size", "owner").agg(
-        F.greatest(F.ceil(F.sum("members") / BLOCK), F.ceil(F.sum("shingles") / BLOCK_SHINGLES)).alias("count")
+    sized = open_.join(sizes, "id").withColumn("size", F.floor(F.log(F.col("n")) / F.log(F.lit(SIZE_STEP))))
+    sized = checkpointed(sized.select("key", "part", "id", "label", "n", "size"))
+    counts = sized.groupBy("key", "size", "part").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("count")
     )
-    number = F.xxhash64("size", F.col("owner").isNull(), "owner", "block")
-    blocks = counts.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("block")).select("key", "size", "owner", number.alias("a"))
-    other = blocks.toDF("key", "other_size", "other_owner", "b")
-    apart = F.col("owner").isNull() | F.col("other_owner").isNull() | (F.col("owner") != F.col("other_owner"))
+    counts = checkpointed(counts)
+    number = F.xxhash64("size", "part", "block")
+    blocks = counts.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("block")).select("key", "size", "part", number.alias("a"))
+    other = blocks.toDF("key", "other_size", "other_part", "b")
+    apart = (F.col("part") == ANY) | (F.col("part") != F.col("other_part"))
     ordered = (F.col("other_size") == F.col("size") + 1) | ((F.col("other_size") == F.col("size")) & (F.col("a") <= F.col("b")))
     cells = checkpointed(blocks.join(other, "key").where(ordered & apart).select("key", "a", "b"))
-    placed = (
-        sized.join(groups.select("key", "size", "label", "owner"), ["key", "size", "label"])
-        .join(counts.withColumnRenamed("owner", "of"), ["key", "size"]).where(F.col("owner").eqNullSafe(F.col("of")))
-        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("count")))
+    placed = checkpointed(
+        sized.join(counts, ["key", "size", "part"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("count")))
         .select("key", "id", "label", "n", number.alias("mine"))
     )
-    placed = checkpointed(placed)
     first = placed.join(cells.withColumn("mine", F.col("a")), ["key", "mine"]).withColumn("side", F.lit(0))
     second = placed.join(cells.where("a != b").withColumn("mine", F.col("b")), ["key", "mine"]).withColumn("side", F.lit(1))
     return first.union(second).select("key", "a", "b", "side", "id", "label", "n")
 
 
+def groups_of(open_: DataFrame) -> DataFrame:
+    """(key, part, id, label): the groups whose members must meet, from open buckets (key, id, label).
+
+    A label with BLOCK members of a bucket becomes a group of its own, one for
+    all its buckets: its members there are one part, the members of other labels
+    in these buckets the other part. So they meet once, however many bands they
+    share. What is left of a bucket is a group if it is still mixed.
+    """
+    sizes = checkpointed(open_.groupBy("key", "label").agg(F.count("*").alias("members"), F.lit(True).alias("big")))
+    total = sizes.agg(F.sum("members")).first()[0] or 0
+    large = sizes.where(F.col("members") >= BLOCK)
+    marked = checkpointed(join_back(open_, large, ["key", "label"], ["big"], F.col("members"), total, F.col("id")))
+    hub = F.xxhash64(F.lit("hub"), F.col("hub"))
+    own = marked.where("big").select(F.col("label").alias("hub"), "id", "label").distinct()
+    hubs = large.select("key", F.col("label").alias("hub"))
+    others = marked.join(hubs, "key").where((F.col("label") != F.col("hub")) & (F.col("big").isNull() | (F.col("label") < F.col("hub"))))
+    others = others.select("hub", "id", "label").distinct()
+    left = marked.where("big is null")
+    mixed = left.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("key")
+    return (
+        left.join(mixed, "key").select("key", F.lit(ANY).alias("part"), "id", "label")
+        .union(own.select(hub, F.lit(0), "id", "label")).union(others.select(hub, F.lit(1), "id", "label"))
+    )
+
+
 def candidates(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For a cell: its rows on both sides, which of their pairs are candidates, and the labels of all rows."""
     side, label, n = (table.column(c).to_numpy() for c in ("side", "label", "n"))
@@ -217,7 +250,7 @@ def cell_links(table: pa.Table) -> pa.Table:
     return pa.table({k: pa.array([f[i] for f in found], pa.int64()) for i, k in enumerate(("a", "b"))})
 
 
-def links_of_large_buckets(open_: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
+def links_of_large_buckets(open_: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
     """Links that join the labels of the open buckets (key, id, label) as all links inside them would.
 
     Members meet cell by cell on their sketches; those with a candidate meet
@@ -225,11 +258,13 @@ def links_of_large_buckets(open_: DataFrame, sketches: DataFrame, texts: DataFra
     links than it has rows.
     """
     cell = ["key", "a", "b"]
-    dealt = cells_of(open_, sketches.select("id", "n")).join(sketches.select("id", "sketch"), "id")
+    dealt = cells_of(groups_of(open_), reps.select("id", "n")).join(reps.select("id", "sketch"), "id")
     schema = "key bigint, a bigint, b bigint, side int, id bigint, label bigint, n bigint, sketch binary"
     kept = checkpointed(dealt.groupBy(*cell).applyInArrow(promising, schema))
-    texts = prune(texts, F.col("id"), kept, F.col("id"))
-    return checkpointed(kept.join(texts, "id").groupBy(*cell).applyInArrow(cell_links, "a bigint, b bigint").distinct())
+    named = checkpointed(kept.join(reps.select("id", "doc", "th"), "id"))
+    texts = texts_for(named, ["doc"], texts)
+    found = named.join(texts.toDF("doc", "th", "text"), ["doc", "th"]).groupBy(*cell).applyInArrow(cell_links, "a bigint, b bigint")
+    return checkpointed(found.distinct())
 
 
 def near_duplicates(
@@ -240,7 +275,7 @@ def near_duplicates(
     Shingles are the distinct windows of five words, A-Z in lower case; of fewer
     words the whole sequence. Documents with equal sets count as one. Others are
     candidates if their sketches agree in a band. In every bucket of a band all
-    members are first compared with the smallest id; candidates pass the size
+    members are first compared with one of them; candidates pass the size
     bound and the sketch estimate, then their full sets decide. Buckets whose
     members are still in several components follow with all pairs across
     components: small ones by a join, large ones block by block inside tasks. So
@@ -252,27 +287,42 @@ def near_duplicates(
 
     Returns ``keep`` (all columns by default), ``n_shingles``, ``component_id``
     and ``kept``. Null and empty texts have no shingles and are linked with
-    nothing. Rows that share an id are one document; rows without an id keep
-    null results. Columns named like a result are replaced.
+    nothing. Rows that share an id are one document, which all its different texts
+    link; ``n_shingles`` is that of the largest. Rows without an id keep null
+    results. Columns named like a result are replaced.
     """
     own = ("n_shingles", "component_id", "kept")
     keep = [c for c in (docs.columns if keep is None else keep) if c not in own]
-    narrow = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    signed = checkpointed(with_measures(narrow, "text", ["id"], OWN, measure))
+    narrow = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
+    signed = checkpointed(with_measures(narrow, "text", ["id", "th"], OWN, measure))
     sets = signed.where("n > 0 and id is not null")
-    groups = checkpointed(sets.groupBy("f1", "f2").agg(F.min("id").alias("rep")))
-    first = groups.withColumnRenamed("rep", "id")
-    reps = checkpointed(sets.join(first, ["f1", "f2", "id"]).select("id", "n", "sketch", "bands").dropDuplicates(["id"]))
-    sketches = reps.select("id", "n", "sketch")
+    first = sets.groupBy("f1", "f2").agg(F.min("id").alias("id"))
+    same = sets.join(first, ["f1", "f2", "id"]).groupBy("f1", "f2").agg(
+        F.first("id").alias("doc"), F.first("th").alias("th"), F.first("n").alias("n"),
+        F.first("sketch").alias("sketch"), F.first("bands").alias("bands"), F.count("*").alias("rows"),
+    )
+    # ids may repeat with different texts, so every distinct set gets a number of its own, fixed by the checkpoint
+    reps = checkpointed(same.withColumn("id", F.monotonically_increasing_id()))
+    size = reps.agg(F.count("*").alias("sets"), F.max("rows").alias("rows")).first()
+    texts = narrow.dropDuplicates(["id", "th"]) if (size["rows"] or 0) > 1 else narrow
+    groups = reps.select("f1", "f2", "id", "doc")
     rows = reps.select("id", F.explode("bands").alias("key"))
     centres = checkpointed(rows.groupBy("key").agg(F.min("id").alias("c"), F.count("*").alias("members")).where("members > 1"))
     hits = checkpointed(rows.join(centres, "key"))
 
     def linked(pairs: DataFrame) -> DataFrame:
-        return checkpointed(verified(checkpointed(similar_by_sketch(pairs, sketches)), narrow))
+        return checkpointed(verified(checkpointed(similar_by_sketch(pairs, reps.select("id", "n", "sketch"))), reps, texts))
 
     tried = checkpointed(hits.where("id != c").select(F.col("c").alias("a"), F.col("id").alias("b")).distinct())
     links = linked(tried)
+    several = sets.groupBy("id").agg(F.min(F.struct("f1", "f2")).alias("lo"), F.max(F.struct("f1", "f2")).alias("hi")).where("lo != hi").select("id")
+    several = checkpointed(sets.join(several, "id").select(F.col("id").alias("owner"), "f1", "f2").distinct())
+    if not several.isEmpty():
+        # all texts of one id are in one component
+        members = checkpointed(several.join(groups, ["f1", "f2"]).select("owner", F.col("id").alias("b")))
+        least = members.groupBy("owner").agg(F.min("b").alias("a"), F.count("*").alias("texts"))
+        own = join_back(members, least, ["owner"], ["a"], F.col("texts"), members.count(), F.col("b"))
+        links = checkpointed(links.union(own.select("a", "b").where("a != b")))
     found = checkpointed(connected_components(links))
     labelled = hits.join(found, "id", "left").select("key", "id", "members", F.coalesce("component", "id").alias("label"))
     mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("key")
@@ -282,12 +332,14 @@ def near_duplicates(
     across = small.join(other, "key").where("id < b and label != lb").select(F.col("id").alias("a"), "b")
     more = linked(checkpointed(across.distinct().join(tried, ["a", "b"], "left_anti")))
     if not large.isEmpty():
-        more = more.union(links_of_large_buckets(large, sketches, narrow))
+        more = more.union(links_of_large_buckets(large.select("key", "id", "label"), reps, texts))
     if not more.isEmpty():
         found = checkpointed(connected_components(links.union(more)))
-    component = checkpointed(
-        groups.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("f1", "f2", F.coalesce("component", "rep").alias("component"))
-    )
+    labels = checkpointed(groups.join(found, "id", "left").select("f1", "f2", "doc", F.coalesce("component", "id").alias("label")))
+    # an id of several texts can reach further than its first text's smallest id
+    lowest = labels.groupBy("label").agg(F.min("doc").alias("component"), F.count("*").alias("members"))
+    spread = F.struct("f1", "f2")
+    component = checkpointed(join_back(labels, lowest, ["label"], ["component"], F.col("members"), size["sets"], spread).select("f1", "f2", "component"))
     of = (
         signed.join(component, ["f1", "f2"], "left")
         .where("id is not null").groupBy("id").agg(F.max("n").alias("n_shingles"), F.min(F.coalesce("component", "id")).alias("component_id"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,13 +36,19 @@ def bucket_of(key: Column) -> Column:
 def prune(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
     """Drops rows whose key falls in no bucket of a wanted key, before a join on that key.
 
-    The driver sees at most PRUNE_BUCKETS small numbers whatever the size of
-    ``wanted``. If most buckets are taken the filter is left out.
+    The driver sees the buckets as a bit map of PRUNE_BUCKETS / 64 numbers
+    whatever the size of ``wanted``, and the plan holds it as one literal. If
+    most buckets are taken the filter is left out.
     """
-    taken = [r[0] for r in wanted.select(bucket_of(wanted_key).alias("b")).distinct().collect()]
-    if 2 * len(taken) > PRUNE_BUCKETS:
+    bucket = wanted.select(bucket_of(wanted_key).alias("b"))
+    bit = F.expr("shiftleft(1L, b & 63)")
+    words = {r[0]: r[1] for r in bucket.groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(bit).alias("bits")).collect()}
+    if 2 * sum((v & (1 << 64) - 1).bit_count() for v in words.values()) > PRUNE_BUCKETS:
         return df
-    return df.where(bucket_of(key).isin(taken))
+    bits = F.from_json(F.lit(json.dumps([words.get(w, 0) for w in range(PRUNE_BUCKETS // 64)])), "array<bigint>")
+    here = bucket_of(key)
+    word = F.get(bits, F.shiftright(here, 6))
+    return df.where(F.call_function("shiftright", word, here.bitwiseAND(F.lit(63))).bitwiseAND(F.lit(1)) == 1)
 
 
 def join_back(left: DataFrame, right: DataFrame, keys: list[str], values: list[str], weight: Column, total: int, spread: Column) -> DataFrame:

@@ -109,6 +109,19 @@ def test_blocks_equal_all_pairs(spark, monkeypatch, seed):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(docs)
 
 
+@pytest.mark.parametrize("copies", [1, 3])
+def test_ids_with_several_texts_link_them_all(spark, copies):
+    rng = random.Random(9)
+    words = [f"w{k}" for k in range(200)]
+    near = varied(rng, words, 2)
+    docs = [(0, " ".join(words)), (3, near), (3, "another text that nothing else resembles at all"), (7, "another text that nothing else resembles at all")]
+    docs = docs * copies + [(5, "alone with its own few words here")]
+    for _ in range(3):
+        got = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(docs) and len(got) == len(docs)
+        assert {r.component_id for r in got} == {0, 5}
+
+
 def test_no_documents(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 

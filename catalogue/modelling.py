@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml import Estimator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue import catalogue, table
 from catalogue.encoding import hash_split_sql
-from plumbline.operators import evaluate, model
+from plumbline.operators import evaluate, model, search
 from plumbline.operators.sample import split_train_test
 from plumbline.operators.stages import DummyEncoder, StandardScale
 from plumbline.plans.score import batch_score as score_table
@@ -199,3 +200,103 @@ def batch_score(spark: SparkSession, folder: str) -> DataFrame:
         key="doc_id",
     ).fit(rows.filter("split = 'train'"))
     return checked(score_table(rows, fitted, "doc_id"), "doc_id")
+
+
+ORDER_FEATURES = ("priority", "month", "price")
+TREE_SETTINGS = {"maxDepth": [1, 2], "minInstancesPerNode": [1, 200], "impurity": ["gini", "entropy"]}
+FOLDS = 3
+
+
+def order_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with three features of few values and a label that two of them decide together."""
+    priority = F.substring("o_orderpriority", 1, 1).cast("double")
+    price = F.least(F.floor(F.col("o_totalprice") / 20000), F.lit(20)).cast("double")
+    month = F.month("o_orderdate").cast("double")
+    noise = F.col("o_custkey") % 7 == 0
+    label = ((price >= 6) & (priority != 3)) | noise
+    return table(spark, folder, "orders").select(
+        "o_orderkey", priority.alias("priority"), month.alias("month"), price.alias("price"), label.cast("double").alias("label")
+    )
+
+
+def folds_sql(rows: str, key: str, label: str, k: int) -> str:
+    """Folds as ranks of the row hash in each class."""
+    return f"""
+hashed AS (SELECT *, ('0x' || substr(md5('42|' || {key}), 1, 15))::BIGINT AS h FROM {rows}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY {label} ORDER BY h) - 1 AS r, count(*) OVER (PARTITION BY {label}) AS n_class FROM hashed),
+folded AS (SELECT *, ({" + ".join(f"CAST(r >= (n_class * {j} + {k - 1}) // {k} AS INTEGER)" for j in range(1, k))}) AS fold FROM ranked)"""
+
+
+ORDERS_SQL = """
+orders_with_label AS (
+  SELECT o_orderkey, priority, month, price, CAST((price >= 6 AND priority <> 3) OR o_custkey % 7 = 0 AS INTEGER) AS label FROM (
+    SELECT o_orderkey, o_custkey, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS priority, month(o_orderdate) AS month,
+      CAST(least(floor(o_totalprice / 20000), 20) AS INTEGER) AS price FROM orders))"""
+
+
+def impurity_sql(a: str, b: str) -> str:
+    part = lambda v: f"CASE WHEN {v} > 0 THEN -{v} * log2({v} / ({a} + {b})) ELSE 0 END"
+    return f"CASE WHEN impurity = 'entropy' THEN {part(a)} + {part(b)} WHEN {a} + {b} > 0 THEN 2.0::DOUBLE * {a} * {b} / ({a} + {b}) ELSE 0 END"
+
+
+TREE_SEARCH_SQL = f"""
+WITH {ORDERS_SQL}, {folds_sql("orders_with_label", "o_orderkey", "label", FOLDS)},
+kinds AS (SELECT * FROM (VALUES ('gini'), ('entropy')) i(impurity), (VALUES (1), (200)) m(least), (VALUES (0), (1), (2)) f(held)),
+cells AS (SELECT o_orderkey, unnest([{{'f': 0, 'v': priority}}, {{'f': 1, 'v': month}}, {{'f': 2, 'v': price}}], recursive := true) FROM folded),
+at1 AS (SELECT kinds.*, o_orderkey, fold, label, 1 AS node FROM folded, kinds),
+""" + ",".join(f"""
+counts{k} AS (SELECT impurity, least, held, node, f, v, count(*) FILTER (label = 0) AS n0, count(*) FILTER (label = 1) AS n1
+  FROM at{k} JOIN cells USING (o_orderkey) WHERE fold <> held GROUP BY ALL),
+sides{k} AS (SELECT *, sum(n0) OVER o AS l0, sum(n1) OVER o AS l1, sum(n0) OVER w - sum(n0) OVER o AS r0, sum(n1) OVER w - sum(n1) OVER o AS r1
+  FROM counts{k} WINDOW o AS (PARTITION BY impurity, least, held, node, f ORDER BY v), w AS (PARTITION BY impurity, least, held, node, f)),
+gains{k} AS (SELECT *, {impurity_sql("(l0 + r0)", "(l1 + r1)")} - ({impurity_sql("l0", "l1")}) - ({impurity_sql("r0", "r1")}) AS gain FROM sides{k}),
+splits{k} AS (SELECT * FROM gains{k} WHERE l0 + l1 >= least AND r0 + r1 >= least AND gain > 1e-9
+  QUALIFY row_number() OVER (PARTITION BY impurity, least, held, node ORDER BY gain DESC, f, v) = 1),
+at{k + 1} AS (SELECT a.impurity, a.least, a.held, a.o_orderkey, a.fold, a.label,
+    CASE WHEN s.f IS NULL THEN a.node ELSE 2 * a.node + CAST(c.v > s.v AS INTEGER) END AS node
+  FROM at{k} a LEFT JOIN splits{k} s USING (impurity, least, held, node) LEFT JOIN cells c ON c.o_orderkey = a.o_orderkey AND c.f = s.f)""" for k in (1, 2)) + """,
+leaves AS (SELECT 1 AS depth, * FROM at2 UNION ALL SELECT 2, * FROM at3),
+votes AS (SELECT *, avg(label) FILTER (fold <> held) OVER (PARTITION BY depth, impurity, least, held, node) > 0.5 AS vote FROM leaves),
+scored AS (SELECT depth, impurity, least, held, avg(CAST(vote = (label = 1) AS INTEGER)) AS score FROM votes WHERE fold = held GROUP BY ALL)
+SELECT depth AS "maxDepth", least AS "minInstancesPerNode", impurity, round(avg(score), 9) AS score FROM scored GROUP BY ALL
+"""
+
+
+def scores_of(spark: SparkSession, settings: list[dict], scores: list[float]) -> DataFrame:
+    return spark.createDataFrame([(*s.values(), round(v, 9)) for s, v in zip(settings, scores, strict=True)], [*settings[0], "score"])
+
+
+@catalogue.add(TREE_SEARCH_SQL)
+def tree_search(spark: SparkSession, folder: str) -> DataFrame:
+    """Decision trees of every setting and fold grown in shared passes; the scores are those of the same trees in SQL."""
+    found = search.shared_search(order_rows(spark, folder), search.TREE, TREE_SETTINGS, ORDER_FEATURES, "label", "o_orderkey", FOLDS, balance=False)
+    return scores_of(spark, *found).withColumns({c: F.col(c).cast("int") for c in ("maxDepth", "minInstancesPerNode")})
+
+
+@catalogue.add(f"""
+WITH {ORDERS_SQL}, {folds_sql("orders_with_label", "o_orderkey", "label", FOLDS)},
+rates AS (SELECT held, price, avg(label) AS rate FROM folded, (VALUES (0), (1), (2)) f(held) WHERE fold <> held GROUP BY ALL),
+scored AS (
+  SELECT fold, 2 * count(*) FILTER (rate > 0.5 AND label = 1) / (count(*) FILTER (rate > 0.5) + count(*) FILTER (label = 1)) AS score
+  FROM folded LEFT JOIN rates ON held = fold AND rates.price = folded.price GROUP BY fold)
+SELECT c AS "C", round((SELECT avg(score) FROM scored), 9) AS score, true AS stationary FROM (VALUES (1000.0::DOUBLE), (1e6)) g(c)
+""")
+def logistic_search(spark: SparkSession, folder: str) -> DataFrame:
+    """Logistic regressions of two penalties and all folds in shared passes, on a dummy for every price class.
+
+    With one dummy a class and hardly a penalty the fitted probability is the
+    class's own rate, which SQL knows; ``stationary`` asks that the gradient of
+    every run's penalised loss is near zero.
+    """
+    rows = order_rows(spark, folder)
+    dummies = [F.when(F.col("price") == i, 1.0).otherwise(0.0).alias(f"price_{i}") for i in range(21)]
+    rows = rows.select("o_orderkey", "label", *dummies)
+    names = [f"price_{i}" for i in range(21)]
+    settings = search.settings_of({"C": [1000.0, 1e6], "maxIter": [500]})
+    folded = search.fold_table(rows, names, "label", "o_orderkey", FOLDS, balance=False)
+    block = search.fit_logistic(folded, settings, range(FOLDS))
+    steep = np.abs(block.gradients).max(axis=1)
+    predictions = search.fold_predictions(folded, search.LOGISTIC, settings, FOLDS)
+    flat = [bool((steep[block.runs.setting == i] < 0.01).all()) for i in range(len(settings))]
+    known = spark.createDataFrame([(i, s["C"], f) for i, (s, f) in enumerate(zip(settings, flat, strict=True))], "setting int, C double, stationary boolean")
+    return search.setting_scores(predictions, "f1").join(known, "setting").select("C", F.round("score", 9).alias("score"), "stationary")

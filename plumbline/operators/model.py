@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from threading import Lock
 from typing import Any
 
@@ -17,13 +18,14 @@ from pyspark.ml.classification import (
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import keep_present
 from plumbline.operators.balance import NEIGHBOURS, class_counts, smote
 from plumbline.operators.sample import assign_folds
+from plumbline.operators.search import LOGISTIC, SUPPORTED, TREE, all_rows, fold_table, shared_search
 
 SEED = 42
 
@@ -186,6 +188,10 @@ class BalancedClassifier(Estimator):
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         return self._train(self.classifier, self.training_rows(dataset))
 
+    def fit_balanced(self, rows: DataFrame) -> PipelineModel:
+        """Fit on rows that are balanced already."""
+        return self._train(self.classifier, self._assembler().transform(rows).drop(*self.features))
+
     def fitMultiple(self, dataset: DataFrame, paramMaps: Sequence[Mapping]) -> _Fits:
         rows = self.training_rows(dataset).persist()
         maps = list(paramMaps)
@@ -219,6 +225,25 @@ def evaluator(scoring: str, label: str) -> MulticlassClassificationEvaluator:
     return MulticlassClassificationEvaluator(labelCol=label, metricName=scoring)
 
 
+@dataclass(frozen=True)
+class Search:
+    """Settings of a grid with their cross-validated scores, and the best one fitted on all rows."""
+
+    params: list[str]
+    avgMetrics: list[float]
+    bestModel: PipelineModel
+
+
+def shared_family(classifier: Estimator, grid: Mapping[str, Sequence[Any]]) -> str | None:
+    """The family whose settings advance in shared passes, if this classifier and grid belong to one."""
+    if isinstance(classifier, LogisticOnSums):
+        plain = not classifier.getStandardization() and not classifier.getElasticNetParam() and classifier.getFitIntercept()
+        return LOGISTIC if plain and set(grid) <= SUPPORTED[LOGISTIC] else None
+    if isinstance(classifier, DecisionTreeClassifier) and set(grid) <= SUPPORTED[TREE]:
+        return TREE
+    return None
+
+
 def grid_search(
     df: DataFrame,
     classifier: Estimator,
@@ -231,11 +256,16 @@ def grid_search(
     balance: bool = True,
     parallelism: int = 4,
     seed: int = SEED,
-) -> CrossValidatorModel:
+    table: DataFrame | None = None,
+) -> Search:
     """Exhaustive search with stratified folds, balancing inside each training
-    fold, and a final fit of the best settings on all rows."""
-    folded = assign_folds(keep_present(df, features), key, label, folds, seed)
-    folded = folded.withColumn(label, F.col(label).cast("double"))
+    fold, and a final fit of the best settings on all rows.
+
+    Logistic regressions and decision trees advance all settings and folds in
+    the same passes over one table, which a caller may share between them
+    (``table`` from :func:`fold_table` with the same arguments); other models
+    fit one by one."""
+    family = shared_family(classifier, grid)
     estimator = BalancedClassifier(
         classifier=classifier,
         features=list(features),
@@ -245,7 +275,21 @@ def grid_search(
         weighted="classWeight" in grid,
         seed=seed,
     )
-    return CrossValidator(
+    if family:
+        own = {"C": 1.0 / classifier.getRegParam(), "maxIter": classifier.getMaxIter()} if family == LOGISTIC else {
+            "maxDepth": classifier.getMaxDepth(), "minInstancesPerNode": classifier.getMinInstancesPerNode(), "impurity": classifier.getImpurity(),
+        }
+        table = fold_table(df, features, label, key, folds, balance, seed=seed) if table is None else table
+        grid_of_all = {**{k: [v] for k, v in own.items()}, **grid}
+        settings, scores = shared_search(df, family, grid_of_all, features, label, key, folds, scoring, balance, seed, table)
+        best = settings[scores.index(max(scores))]
+        chosen = {classifier.regParam if k == "C" else classifier.getParam(k): 1.0 / v if k == "C" else v for k, v in best.items()}
+        model = estimator.copy(chosen).fit_balanced(all_rows(table, features, label))
+        names = [", ".join(f"{'regParam' if k == 'C' else k}={1.0 / s[k] if k == 'C' else s[k]}" for k in sorted(grid, key=lambda k: "regParam" if k == "C" else k)) for s in settings]
+        return Search(names, scores, model)
+    folded = assign_folds(keep_present(df, features), key, label, folds, seed)
+    folded = folded.withColumn(label, F.col(label).cast("double"))
+    found = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=param_grid(classifier, grid),
         evaluator=evaluator(scoring, label),
@@ -253,16 +297,14 @@ def grid_search(
         foldCol="fold",
         parallelism=parallelism,
     ).fit(folded)
+    names = [", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name)) for m in found.getEstimatorParamMaps()]
+    return Search(names, list(found.avgMetrics), found.bestModel)
 
 
-def search_table(df: DataFrame, name: str, model: CrossValidatorModel) -> DataFrame:
+def search_table(df: DataFrame, name: str, search: Search) -> DataFrame:
     """One row per setting: model, parameters, mean score, and the best mark."""
-    scores = list(model.avgMetrics)
-    best = scores.index(max(scores))
-    rows = [
-        (name, ", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name)), float(s), i == best)
-        for i, (m, s) in enumerate(zip(model.getEstimatorParamMaps(), scores))
-    ]
+    best = search.avgMetrics.index(max(search.avgMetrics))
+    rows = [(name, text, float(s), i == best) for i, (text, s) in enumerate(zip(search.params, search.avgMetrics, strict=True))]
     return df.sparkSession.createDataFrame(rows, "model string, params string, cv_score double, best boolean")
 
 

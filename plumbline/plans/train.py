@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.operators.evaluate import binary_metrics
-from plumbline.operators.model import boosted_trees, fit_directly, grid_search, score, search_table
+from plumbline.operators.model import boosted_trees, fit_directly, grid_search, score, search_table, shared_family
+from plumbline.operators.search import fold_table
 from plumbline.plans.prepare import Preparation
 
 
@@ -34,6 +35,7 @@ def train_and_evaluate(
     grid: Mapping[str, Sequence[Any]] | None = None,
     folds: int = 5,
     scoring: str = "accuracy",
+    table: DataFrame | None = None,
 ) -> Training:
     """Train on ``split = train``, evaluate on ``split = test``.
 
@@ -44,7 +46,7 @@ def train_and_evaluate(
     test = prepared.filter(F.col("split") == "test").withColumn(target, F.col(target).cast("double"))
     searched = None
     if grid:
-        search = grid_search(train, classifier, grid, features, target, key, folds, scoring)
+        search = grid_search(train, classifier, grid, features, target, key, folds, scoring, table=table)
         model, best = search.bestModel, max(search.avgMetrics)
         searched = search_table(prepared, type(classifier).__name__, search)
     else:
@@ -62,9 +64,12 @@ def compare_models(
     scoring: str = "f1",
 ) -> DataFrame:
     """Best settings, cross-validation score and test metrics of each candidate."""
-    out = None
+    out = table = None
+    if any(shared_family(classifier, grid) for classifier, grid in candidates.values()):
+        # one table of balanced folds for all families that are searched in shared passes
+        table = fold_table(prepared.filter(F.col("split") == "train"), features, target, key, folds)
     for name, (classifier, grid) in candidates.items():
-        result = train_and_evaluate(prepared, features, target, key, classifier, grid, folds, scoring)
+        result = train_and_evaluate(prepared, features, target, key, classifier, grid, folds, scoring, table)
         best = result.searched.filter("best").select("params", "cv_score").first()
         row = result.metrics.select(
             F.lit(name).alias("model"),

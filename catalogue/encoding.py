@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue import catalogue, table
 from catalogue.cleaning import GAPPY, HASH, gappy_orders
-from plumbline.operators import binning, features, stages
+from plumbline.operators import binning, features, stages, vocabulary
 from plumbline.plans.prepare import prepare, prepare_with_metrics
 from plumbline.sources.scratch import materialize_once, new_path
 from plumbline.spec import FeatureSpec
@@ -300,3 +301,24 @@ def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     fitted.write().overwrite().save(path)
     loaded = PipelineModel.load(path).transform(orders)
     return loaded.withColumn("o_totalprice", F.round("o_totalprice", 9))
+
+
+@catalogue.add("""
+WITH l AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, CAST(l_partkey AS VARCHAR) AS part, strftime(l_shipdate, '%Y-%m-%d') AS shipped FROM lineitem),
+p AS (SELECT part, CAST(row_number() OVER (ORDER BY part) - 1 AS DOUBLE) AS part_index FROM (SELECT DISTINCT part FROM l)),
+s AS (SELECT shipped, CAST(row_number() OVER (ORDER BY shipped) - 1 AS DOUBLE) AS shipped_index FROM (SELECT DISTINCT shipped FROM l))
+SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, part_index AS part, shipped_index AS shipped, part AS decoded,
+  CAST((SELECT count(*) FROM p) AS BIGINT) AS width
+FROM l JOIN p USING (part) JOIN s USING (shipped)
+""")
+def vocabulary_encode(spark: SparkSession, folder: str) -> DataFrame:
+    """Two columns of many values indexed from dictionaries that are tables, one decoded again, one also as a sparse vector."""
+    lines = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", F.col("l_partkey").cast("string").alias("part"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipped")
+    )
+    fitted = vocabulary.VocabularyIndexer(inputCols=["part", "shipped"], onInvalid="error").fit(lines)
+    indexed = fitted.decode(fitted.transform(lines), "part", "decoded", "part")
+    sparse = vocabulary.SparseDummies(fitted).transform(indexed)
+    hot = F.try_element_at(vector_to_array("shipped_vec"), (F.col("shipped") + 1).cast("int"))
+    width = F.lit(fitted.sizes(spark)["part"]).cast("long")
+    return sparse.where(hot == 1).select(*indexed.columns, width.alias("width"))

@@ -90,3 +90,22 @@ FROM dice LEFT JOIN near
 def smote(spark: SparkSession, folder: str) -> DataFrame:
     out = balance.smote(labelled_sizes(spark, folder), ["chars", "words"], "quality", "doc_id")
     return out.withColumns({c: F.round(c, 6) for c in ("chars", "words")})
+
+
+@catalogue.add("WITH " + hash_split_sql("orders", "o_orderkey", "o_custkey") + "SELECT o_orderkey, o_custkey, split FROM assigned")
+def split_many_strata(spark: SparkSession, folder: str) -> DataFrame:
+    """A stratum for every customer: sizes and cuts are tables."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    return sample.split_by_table(orders, "o_orderkey", "o_custkey")
+
+
+@catalogue.add(f"""
+WITH ranked AS (
+  SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY {HASH.format(key='o_orderkey')}) AS rn,
+    count(*) OVER (PARTITION BY o_custkey) AS n FROM orders
+)
+SELECT o_orderkey, o_custkey, CAST((rn - 1) * 5 // n AS INTEGER) AS fold FROM ranked
+""")
+def kfold_many_classes(spark: SparkSession, folder: str) -> DataFrame:
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    return sample.folds_by_table(orders, "o_orderkey", "o_custkey")

@@ -23,6 +23,10 @@ RADIX_BITS = 12
 MAX_STRATA = 1_000
 
 
+class TooManyStrata(ValueError):
+    """More strata than the driver should hold; see :mod:`plumbline.functions.strata`."""
+
+
 @dataclass
 class _Target:
     stratum: Any
@@ -86,7 +90,7 @@ def rank_cuts(
         .collect()
     )
     if len(top) > strata_guard:
-        raise ValueError(f"more than {MAX_STRATA} strata")
+        raise TooManyStrata(f"more than {MAX_STRATA} strata")
     bins = _by_stratum(top)
     counts = {s: sum(n for _, n in b) for s, b in bins.items()}
 

@@ -12,6 +12,9 @@ Exact neighbours without comparing all pairs:
 4. Each point visits the cells its bound reaches, keeps what lies within the
    bound, and ranks it. Nothing is sampled or capped.
 
+From WIDE columns on, cells with bounding boxes replace the projection
+(:mod:`plumbline.operators.neighbours`): they bound distances in many columns.
+
 Ties between different vectors at one distance go to the smaller key. All
 random choices come from the md5 digest of seed, row key and draw number.
 """
@@ -30,6 +33,7 @@ from pyspark.sql import types as T
 from plumbline.functions.columns import require_columns
 from plumbline.functions.hashing import DRAW_DIGITS, DRAW_SPAN, digest, hex_number, row_hash
 from plumbline.functions.selection import below_cut, rank_cuts
+from plumbline.operators.neighbours import visits, with_cells
 from plumbline.sources.scratch import materialize_once
 
 NEIGHBOURS = 5
@@ -37,6 +41,8 @@ CELL_ROWS = 2_048
 MAX_CELLS = 20_000
 HOT_VECTOR_ROWS = 10_000
 MAX_HOT_VECTORS = 100_000
+WIDE = 8
+OTHER = ("vid AS other", "vkey AS other_key", "copies AS other_copies", "v AS nv")
 
 
 def class_counts(df: DataFrame, label: str) -> dict[Any, int]:
@@ -98,6 +104,10 @@ def nearest_vectors(vectors: DataFrame, n_features: int, k: int, cell_rows: int
     Returns ``vid, rank, nv``: the neighbour's values at each rank. Own copies
     take the first ranks and get no row.
     """
+    if n_features >= WIDE:
+        placed, boxes = with_cells(vectors)
+        visiting = visits(placed, boxes, k)
+        return _ranked(visiting, placed.selectExpr("cell", *OTHER), "vid <> other", n_features, k)
     axes = range(n_features)
     shape = vectors.agg(F.count("*").alias("n"), *[F.expr(f"stddev_pop(v[{i}])").alias(f"s{i}") for i in axes]).first()
     direction = _direction([shape[f"s{i}"] or 0.0 for i in axes])
@@ -141,17 +151,18 @@ def nearest_vectors(vectors: DataFrame, n_features: int, k: int, cell_rows: int
         f"coalesce(p - ({reach}), double('-infinity')) AS low",
         f"coalesce(p + ({reach}), double('infinity')) AS high",
     )
-    visits = _cells(queries, splits, {"low": "cell_low", "high": "cell_high"}).withColumn(
+    visits_of_cells = _cells(queries, splits, {"low": "cell_low", "high": "cell_high"}).withColumn(
         "cell", F.explode(F.sequence("cell_low", "cell_high"))
     )
-    others = placed.selectExpr(
-        "cell", "vid AS other", "vkey AS other_key", "copies AS other_copies", "p AS other_p", "v AS nv"
-    )
+    others = placed.selectExpr("cell", *OTHER, "p AS other_p")
+    return _ranked(visits_of_cells, others, "vid <> other AND other_p BETWEEN low AND high", n_features, k)
+
+
+def _ranked(visiting: DataFrame, others: DataFrame, met: str, n_features: int, k: int) -> DataFrame:
+    """The nearest vectors among those of the visited cells."""
     distance = _squared_distance("v", "nv", n_features)
-    within = F.expr(
-        f"vid <> other AND other_p BETWEEN low AND high AND (reach2 IS NULL OR {distance} <= reach2)"
-    )
-    found = visits.join(others, "cell").filter(within).selectExpr(
+    within = F.expr(f"{met} AND (reach2 IS NULL OR {distance} <= reach2)")
+    found = visiting.join(others, "cell").filter(within).selectExpr(
         "vid", "copies", "needed", "other_key", "other_copies", f"{distance} AS d2", "nv"
     )
     order = Window.partitionBy("vid").orderBy("d2", "other_key")

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.operators import balance
+from plumbline.operators import balance, neighbours
 
 
 def points(kind: str, n: int, d: int) -> list[tuple[float, ...]]:
@@ -44,9 +44,13 @@ def brute_neighbours(rows: list[tuple[float, ...]], k: int) -> list[list[tuple[f
 
 
 @pytest.mark.parametrize("kind", ["gauss", "lattice", "hot third", "one column varies"])
-@pytest.mark.parametrize("cell_rows", [7, 2048])
-def test_neighbours_match_brute_force(spark, kind, cell_rows):
+@pytest.mark.parametrize("cell_rows", [7, 2048, "boxes"])
+def test_neighbours_match_brute_force(spark, monkeypatch, kind, cell_rows):
     d, k = 3, 5
+    if cell_rows == "boxes":
+        monkeypatch.setattr(balance, "WIDE", 3)
+        monkeypatch.setattr(balance, "with_cells", lambda v: neighbours.with_cells(v, 9))
+        cell_rows = 0
     rows = points(kind, 240, d)
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "key bigint, f0 double, f1 double, f2 double")
     df = balance.feature_points(df, ["f0", "f1", "f2"], "key")
@@ -129,3 +133,42 @@ def test_refusals(spark):
 def test_balanced_classes_stay_as_they_are(spark):
     df = frame(spark, 5, points("gauss", 5, 2))
     assert balance.smote(df, ["a", "b"], "y", "id").filter("draw > 0").count() == 0
+
+
+def one_hot_rows(n: int) -> list[tuple[float, ...]]:
+    """Customers of 30 kinds: twelve choices of three or four values that mostly follow the kind, as 40 dummies, and two numbers."""
+    r = random.Random(8)
+    sizes = [3] * 8 + [4] * 4
+    kinds = [[r.randrange(s) for s in sizes] for _ in range(30)]
+    out = []
+    for _ in range(n):
+        kind = r.choice(kinds)
+        picks = [r.randrange(s) if r.random() < 0.08 else c for s, c in zip(sizes, kind)]
+        out.append(tuple(float(v == c) for s, c in zip(sizes, picks) for v in range(s)) + (r.random(), r.random()))
+    return out
+
+
+@pytest.mark.parametrize("sample", [neighbours.SAMPLE, 60])
+def test_wide_one_hot_tables_visit_few_cells(spark, monkeypatch, sample):
+    monkeypatch.setattr(neighbours, "SAMPLE", sample)
+    k, rows = 5, one_hot_rows(1500)
+    d = len(rows[0])
+    names = [f"f{i}" for i in range(d)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], ["key", *names])
+    points_ = balance.feature_points(df, names, "key")
+    vectors = balance.distinct_vectors(points_).cache()
+    placed, boxes = neighbours.with_cells(vectors, 16)
+    pairs = neighbours.visits(placed, boxes, k).groupBy("cell").count().collect()
+    share = sum(r["count"] * int(boxes.rows[r.cell]) for r in pairs) / vectors.count() ** 2
+    assert share < (0.12 if sample > 60 else 0.6)
+    near = balance.nearest_vectors(vectors, d, k)
+    found = {}
+    for r in vectors.select("vkey", "vid").join(near, "vid").collect():
+        found.setdefault(r.vkey, {})[r["rank"]] = tuple(r.nv)
+    x = np.array(rows)
+    for i in range(0, len(rows), 7):
+        gaps = ((x - x[i]) ** 2).sum(axis=1)
+        order = np.lexsort((np.arange(len(x)), gaps))
+        want = [float(gaps[j]) for j in order if j != i][:k]
+        got = [float(((np.array(found[i][j]) - x[i]) ** 2).sum()) for j in range(k)]
+        assert np.allclose(got, want)

@@ -9,7 +9,7 @@ from catalogue import catalogue, table
 from plumbline.operators import binning, clean, outliers
 from plumbline.operators.gate import table_gate as gate
 from plumbline.operators.sample import split_train_test
-from plumbline.sources.files import load_table, materialize, save_table, write_split as save_split
+from plumbline.sources.files import load_table, materialize, save_sized, save_table, write_split as save_split
 from plumbline.sources.files import scan_csv as read_csv
 from plumbline.sources.scratch import new_path
 
@@ -235,3 +235,15 @@ def table_gate(spark: SparkSession, folder: str) -> DataFrame:
     return full.select(F.lit("orders").alias("table"), "*").unionByName(
         empty.select(F.lit("returns").alias("table"), "*")
     )
+
+
+@catalogue.add("""
+SELECT o_orderkey, o_totalprice, (SELECT greatest(1, least(200, count(*) // 10000)) FROM orders)::BIGINT AS files FROM orders
+""")
+def layout_by_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders saved in as many files as their number asks for."""
+    path = new_path(spark, "sized")
+    save_sized(table(spark, folder, "orders").select("o_orderkey", "o_totalprice"), path)
+    written = spark.read.parquet(path)
+    files = written.select(F.col("_metadata.file_path")).distinct().count()
+    return written.withColumn("files", F.lit(files).cast("long"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from catalogue.modelling import document_features, feature_names
 from plumbline.operators import model, topics
 from plumbline.sources.messages import encode_envelope, file_stream, run_to_files, with_file_metadata, write_messages
 from plumbline.sources.scratch import new_path
-from plumbline.streaming import decode
+from plumbline.streaming import decode, runs
 from plumbline.streaming.scoring import run_scoring, score_messages
 
 
@@ -178,3 +180,83 @@ def stream_score(spark: SparkSession, folder: str) -> DataFrame:
         F.col("prediction.prediction").isin("bad", "good").alias("prediction_fits"),
         F.col("prediction.probability").endswith("%").alias("probability_fits"),
     )
+
+
+def scoring_inbox(spark: SparkSession, folder: str):
+    """A fitted model, its fields, and all documents as messages: some are no JSON, some lack a number."""
+    rows = document_features(spark, folder)
+    names = feature_names(rows)
+    fitted = model.BalancedClassifier(
+        classifier=model.decision_tree(maxDepth=4), features=names, label="label", key="doc_id", balance=False
+    ).fit(rows.filter("split = 'train'"))
+    kind = F.col("doc_id") % 10
+    sent = rows.withColumn("chars", F.when(kind != 7, F.col("chars")))
+    encoded = encode_envelope(sent, "doc_id", "doc_id", *names)
+    broken = F.when(F.col("key").cast("bigint") % 10 == 3, F.concat(F.lit("oops "), "key")).otherwise(F.col("value"))
+    fields = {"doc_id": ("bigint", 0), **{n: ("double", 0.0) for n in names}}
+    return fitted, names, fields, encoded.withColumn("value", broken)
+
+
+@catalogue.add("""
+SELECT doc_id, CASE doc_id % 10 WHEN 3 THEN 'malformed' WHEN 7 THEN 'invalid' ELSE 'ok' END AS status,
+  (SELECT count(*) FROM documents) AS total, (SELECT count(*) FROM documents WHERE doc_id % 10 IN (3, 7)) AS rejected
+FROM documents
+""")
+def stream_sinks(spark: SparkSession, folder: str) -> DataFrame:
+    """Scored and rejected messages from one decode, in two runs of one stream; totals from its commit records."""
+    fitted, names, fields, sent = scoring_inbox(spark, folder)
+    inbox, scored, rejected, commits, position = (new_path(spark, n) for n in ("inbox", "scored", "rejected", "commits", "position"))
+    for half in (0, 1):
+        write_messages(sent.filter(F.col("key").cast("bigint") % 2 == half), inbox)
+        messages = file_stream(spark, inbox, "key string, value string")
+        runs.run_sinks(messages, fitted, scored, rejected, commits, position, "doc_id", ["bad", "good"], fields, names)
+    ok = runs.committed(spark, scored, commits).where("prediction.prediction IN ('bad', 'good')")
+    bad = runs.committed(spark, rejected, commits)
+    envelope = F.when(F.col("status") == "malformed", F.split("value", " ")[1]).otherwise(F.get_json_object("value", "$.data.doc_id"))
+    rows = ok.select(F.col("customer_id").cast("bigint").alias("doc_id"), F.lit("ok").alias("status")).unionByName(
+        bad.select(envelope.cast("bigint").alias("doc_id"), "status")
+    )
+    sums = runs.batch_records(spark, commits).agg(F.sum("total").alias("total"), F.sum("rejected").alias("rejected")).first()
+    return rows.select("doc_id", "status", F.lit(sums["total"]).alias("total"), F.lit(sums["rejected"]).alias("rejected"))
+
+
+@catalogue.add("SELECT event_id, event_type, true AS stopped_early, true AS kept_position FROM events")
+def stream_bounded(spark: SparkSession, folder: str) -> DataFrame:
+    """Events in four files: a run that ends after the first messages, then one by the clock's trigger for the rest."""
+    events = table(spark, folder, "events").select("event_id", "event_type")
+    inbox, path, position = (new_path(spark, n) for n in ("inbox", "drained", "position"))
+    events.repartition(4, "event_id").write.parquet(inbox)
+    stream = file_stream(spark, inbox, events.schema, max_files=1)
+    total = events.count()
+    first = runs.drain(stream, path, position, runs.Bounds(messages=1))
+    rest = runs.drain(stream, path, position, runs.Bounds(messages=total - first.seen, seconds=120), continuous=True)
+    early, kept = 0 < first.seen < total, first.seen + rest.seen == total
+    return spark.read.parquet(path).select("event_id", "event_type", F.lit(early).alias("stopped_early"), F.lit(kept).alias("kept_position"))
+
+
+@catalogue.add(LOG + """
+SELECT CAST(event_id AS VARCHAR) AS key, partition, "offset" FROM log WHERE "offset" >= 100 AND "offset" < 2000
+""")
+def replay_by_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same range as ``replay_range``, from a stream with a position of its own."""
+    log = event_log(spark, folder).select("key", "partition", "offset")
+    inbox, path = new_path(spark, "log"), new_path(spark, "replayed")
+    log.write.parquet(inbox)
+    stream = runs.replay_stream(spark, inbox, log.schema, 100, 2000)
+    runs.drain(stream, path, new_path(spark, "position"))
+    return spark.read.parquet(path).drop("batch_id")
+
+
+@catalogue.add("SELECT event_id, event_type FROM events WHERE event_id % 2 = 1")
+def stream_from_latest(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream that starts behind what is there: only later files are read, over two runs."""
+    events = table(spark, folder, "events").select("event_id", "event_type")
+    inbox, path, start, position = (new_path(spark, n) for n in ("inbox", "drained", "start", "position"))
+    events.filter("event_id % 2 = 0").write.parquet(inbox)
+    for part in (None, "event_id % 4 = 1", "event_id % 4 = 3"):
+        if part:
+            time.sleep(0.05)  # file times have milliseconds
+            events.filter(part).write.mode("append").parquet(inbox)
+        stream = runs.file_stream_from(spark, inbox, events.schema, start, "latest", pathGlobFilter="*.parquet")
+        runs.drain(stream, path, position)
+    return spark.read.parquet(path).drop("batch_id")

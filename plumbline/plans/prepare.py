@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import clean_double, is_missing, keep_present, require_columns
@@ -35,6 +35,10 @@ from plumbline.sources.files import input_version, materialize, write_split
 from plumbline.spec import FeatureSpec
 
 FIT_SCOPES = ("train", "all")
+METRICS = (
+    "raw_rows bigint, missing_rows bigint, outliers_removed bigint, dataset_rows bigint, training_rows bigint, "
+    "test_rows bigint, num_features int"
+)
 
 
 @dataclass(frozen=True)
@@ -160,27 +164,27 @@ def prepare_to_table(
 def prepare_with_metrics(df: DataFrame, spec: FeatureSpec, path: str, fit_scope: str = "train") -> DataFrame:
     """Write the prepared table and return its metrics in one row.
 
-    Raw and missing rows take one pass over the raw columns; row counts per
-    split come from the written table, whose file footers hold them.
+    All counts are observed on the one pass that writes: raw and missing rows
+    where the rows enter, rows per split where they leave.
     """
     prep = fit_preparation(df, spec, fit_scope)
-    write_split(apply_preparation(df, prep), path)
     missing = F.lit(False)
     for c in spec.raw_columns:
         missing = missing | is_missing(df, c, blank=c == spec.critical)
     for c in spec.numerical:
         missing = missing | clean_double(df, c).isNull()
-    raw = df.agg(F.count(F.lit(1)).alias("raw_rows"), F.count_if(missing).alias("missing_rows"))
-    written = df.sparkSession.read.parquet(path).agg(
+    entering, leaving = Observation(), Observation()
+    raw = df.observe(entering, F.count(F.lit(1)).alias("raw_rows"), F.count_if(missing).alias("missing_rows"))
+    prepared = apply_preparation(raw, prep).observe(
+        leaving,
         F.count(F.lit(1)).alias("dataset_rows"),
         F.count_if(F.col("split") == "train").alias("training_rows"),
         F.count_if(F.col("split") == "test").alias("test_rows"),
     )
-    one = written.select(F.struct("dataset_rows", "training_rows", "test_rows").alias("w")).scalar()
-    return raw.select("raw_rows", "missing_rows", one.alias("w")).select(
-        "raw_rows",
-        "missing_rows",
-        (F.col("raw_rows") - F.col("missing_rows") - F.col("w.dataset_rows")).alias("outliers_removed"),
-        "w.*",
-        F.lit(len(prep.feature_columns)).alias("num_features"),
+    write_split(prepared, path)
+    seen = {k: int(v) for k, v in {**entering.get, **leaving.get}.items()}
+    row = (
+        seen["raw_rows"], seen["missing_rows"], seen["raw_rows"] - seen["missing_rows"] - seen["dataset_rows"],
+        seen["dataset_rows"], seen["training_rows"], seen["test_rows"], len(prep.feature_columns),
     )
+    return df.sparkSession.createDataFrame([row], METRICS)

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,16 +90,53 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
+def publish(spark: SparkSession, staged: str, path: str) -> bool:
+    """Moves a finished folder to its place in one step; false if another one is there already.
+
+    What an interrupted job without success marker left at the place is removed.
+    The store must rename folders atomically, as distributed file systems do.
+    """
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs
+    source, target = fs.Path(staged), fs.Path(path.rstrip("/"))
+    conf = spark._jsc.hadoopConfiguration()
+    store = target.getFileSystem(conf)
+    if store.exists(target) and not is_complete(spark, path):
+        store.delete(target, True)
+    store.mkdirs(target.getParent())
+    options = spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 0)
+    try:
+        fs.FileContext.getFileContext(store.getUri(), conf).rename(store.makeQualified(source), store.makeQualified(target), options)
+        return True
+    except Py4JJavaError:
+        if not is_complete(spark, path):
+            raise
+        store.delete(source, True)
+        return False
+
+
 def materialize(spark: SparkSession, path: str, build: Callable[[], DataFrame], *partition_by: str) -> DataFrame:
     """Read the table at ``path`` when complete, else build and write it first.
 
-    Put a fingerprint of the settings into the path, so changed settings build anew.
+    Put a fingerprint of the settings into the path, so changed settings build
+    anew. The table is written beside its place and then moved there, so nobody
+    reads half of it; of several builds at once the first to finish stays and
+    the others read it.
     """
     if not is_complete(spark, path):
-        build().write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        staged = f"{path.rstrip('/')}.building-{uuid.uuid4().hex}"
+        build().write.partitionBy(*partition_by).parquet(staged)
+        publish(spark, staged, path)
     return spark.read.parquet(path)
 
 
+def save_sized(df: DataFrame, path: str, per_partition: int = ROWS_PER_PARTITION, most: int = MAX_PARTITIONS) -> int:
+    """Save as parquet in as many files as :func:`partition_target` says for the number of rows; returns that number."""
+    files = partition_target(df.count(), per_partition, most)
+    save_table(df.repartition(files), path)
+    return files
+
+
 def with_partition_rows(df: DataFrame) -> DataFrame:
     """Rows per input partition, to judge the layout of a table."""
     return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count("*").alias("rows"))

@@ -207,6 +207,24 @@ def corr_matrix(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(profile.corr_matrix(table(spark, folder, "lineitem"), NUMBERS), 6, "corr")
 
 
+WIDE = [f"x{i}" for i in range(30)]
+
+
+@catalogue.add("WITH w AS (SELECT " + ", ".join(
+    f"CASE WHEN l_orderkey % {i + 3} <> 0 THEN l_quantity * {i + 1} + l_extendedprice / {i + 7} + l_partkey % {i + 2} END AS x{i}" for i in range(30)
+) + " FROM lineitem) " + " UNION ALL ".join(
+    f"SELECT 'x{a}' AS col_a, 'x{b}' AS col_b, round({f'corr(x{a}, x{b})' if a != b else '1.0::DOUBLE'}, 6) AS corr FROM {'w' if a != b else '(SELECT 1)'}"
+    for a in range(30) for b in range(30)
+))
+def corr_matrix_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """Thirty columns with gaps in blocks of eight columns."""
+    gappy = [
+        F.expr(f"CASE WHEN l_orderkey % {i + 3} <> 0 THEN l_quantity * {i + 1} + l_extendedprice / {i + 7} + l_partkey % {i + 2} END").alias(f"x{i}")
+        for i in range(30)
+    ]
+    return rounded(profile.corr_matrix_wide(table(spark, folder, "lineitem").select(*gappy), WIDE, block=8), 6, "corr")
+
+
 BOXED = ["l_quantity", "l_extendedprice"]
 
 

@@ -104,3 +104,35 @@ def test_lag_and_replay(spark):
     assert lag == {0: 2, 1: 5, -1: 7}
     assert topics.replay_range(log, 1, 3).count() == 4
     assert topics.replay_range(log).count() == 10
+
+
+def test_density_equals_the_plain_sum_of_kernels(spark):
+    rng = np.random.default_rng(2)
+    v = np.concatenate((rng.normal(size=600), rng.normal(50, 3, 300), [1e4, -500.0]))
+    df = spark.createDataFrame([(float(x),) for x in v] + [(None,), (float("nan"),)], "v double")
+    rows = profile.kde_grid(df, "v", points=60).orderBy("grid_id").collect()
+    h = v.std(ddof=1) * len(v) ** -0.2
+    want = [np.exp(-0.5 * ((r.x - v) / h) ** 2).sum() / (len(v) * h * math.sqrt(2 * math.pi)) for r in rows]
+    assert len(rows) == 60 and np.abs(np.array([r.density for r in rows]) - want).max() < 1e-12 * max(want)
+
+
+def test_wide_correlations_equal_the_plain_ones(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 7)) + np.arange(7) * 1e5
+    x[:, 5] = 4.0
+    rows = [[None if rng.random() < 0.2 else float(c) for c in r] for r in x]
+    names = [f"c{i}" for i in range(7)]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)).repartition(3)
+    plain = {(r.col_a, r.col_b): r["corr"] for r in profile.corr_matrix(df, names).collect()}
+    wide = {(r.col_a, r.col_b): r["corr"] for r in profile.corr_matrix_wide(df, names, block=3).collect()}
+    assert set(plain) == set(wide)
+    for k, v in plain.items():
+        assert wide[k] is None if v is None else wide[k] == pytest.approx(v, abs=1e-9)
+    empty = profile.corr_matrix_wide(df.where("false"), names)
+    assert empty.collect() == []
+
+
+def test_two_thousand_columns_plan_at_once(spark):
+    names = [f"c{i}" for i in range(2000)]
+    df = spark.range(40).select(F.col("id"), *[(F.col("id") * (i % 7 + 1) % (i % 11 + 2)).cast("double").alias(f"c{i}") for i in range(2000)])
+    assert profile.corr_matrix_wide(df, names).count() == 2000 * 2000

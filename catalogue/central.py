@@ -14,7 +14,8 @@ from plumbline.plans.prepare import Preparation, apply_preparation, fit_preparat
 from plumbline.plans.train import scoring_model, train_and_evaluate
 from plumbline.sources.messages import encode_envelope, file_stream, write_messages
 from plumbline.sources.scratch import materialize_once, new_path
-from plumbline.streaming.scoring import rejected_messages, run_batches, score_messages, score_ok_messages
+from plumbline.streaming.runs import committed, run_sinks
+from plumbline.streaming.scoring import rejected_messages, score_messages
 
 FIELDS: dict[str, tuple[str, object]] = {
     "order_id": ("bigint", 0),
@@ -100,15 +101,15 @@ def score_raw(spark: SparkSession, folder: str) -> DataFrame:
 
 @catalogue.add(STATUS)
 def stream_raw(spark: SparkSession, folder: str) -> DataFrame:
-    """The same messages as a stream, micro-batch by micro-batch under its id."""
+    """The same messages as a stream that reads its inbox once: scored and rejected rows from one decode of every micro-batch."""
     raw = raw_records(spark, folder)
     prep, whole = trained(raw)
-    inbox, out = new_path(spark, "raw-inbox"), new_path(spark, "raw-scored")
+    inbox, scored, kept_aside, commits = (new_path(spark, f"raw-{n}") for n in ("inbox", "scored", "rejected", "commits"))
     write_messages(raw_messages(raw), inbox)
     source = file_stream(spark, inbox, "key string, value string")
-    ready = score_ok_messages(source, whole, FIELDS, REQUIRED)
-    run_batches(ready, out, new_path(spark, "raw-position"), key=RAW_SPEC.key, labels=prep.labels)
-    return status_of(spark.read.parquet(out).filter("batch_id IS NOT NULL")).unionByName(rejected(spark.read.parquet(inbox)))
+    run_sinks(source, whole, scored, kept_aside, commits, new_path(spark, "raw-position"), RAW_SPEC.key, prep.labels, FIELDS, REQUIRED)
+    aside = committed(spark, kept_aside, commits).select(F.get_json_object("value", "$.data.order_id").alias("order_id"), "status")
+    return status_of(committed(spark, scored, commits)).unionByName(aside)
 
 
 @catalogue.add("""

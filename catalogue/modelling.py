@@ -341,3 +341,27 @@ def models_learn_planted_rule(spark: SparkSession, folder: str) -> DataFrame:
             flat = all(abs(slopes[c] + v) < 1e-4 * slopes["n"] for c, v in zip(ORDER_FEATURES, w, strict=True)) and abs(slopes["b"]) < 1e-4 * slopes["n"]
         out.append((family, n, tp + fn, (tp + tn) / n >= max(tp + fn, fp + tn) / n + lead, flat, same))
     return spark.createDataFrame(out, "family string, test_rows long, positives long, learned boolean, stationary boolean, recounted boolean")
+
+
+TREES = 3
+
+
+@catalogue.add(f"""
+WITH {ORDERS_SQL}, drawn AS (
+  SELECT o_orderkey, label, tree, len(list_filter({model.POISSON}::DOUBLE[], lambda c:
+    ('0x' || substr(md5('42|' || o_orderkey || '|' || tree), 1, 8))::BIGINT / 4294967296.0::DOUBLE >= c)) AS times
+  FROM orders_with_label, range({TREES}) t(tree)
+), sizes AS (SELECT tree, label, sum(times) AS n, sum(sum(times)) OVER (PARTITION BY tree) AS total FROM drawn GROUP BY tree, label)
+SELECT o_orderkey, CAST(tree AS INTEGER) AS tree, CAST(times AS INTEGER) AS times, round(times * total / (2 * n), 9) AS weight
+FROM drawn JOIN sizes USING (tree, label)
+""")
+def balanced_subsample_weights(spark: SparkSession, folder: str) -> DataFrame:
+    """Weight of every order in the own sample of each of three trees."""
+    rows = order_rows(spark, folder).withColumn(model.ROW_KEY, F.col("o_orderkey").cast("string"))
+    drawn, weights = model.subsample_weights(rows, "label", TREES)
+    out = drawn.select("o_orderkey", "label", F.posexplode("draws").alias("tree", "times"))
+    weight = F.lit(None).cast("double")
+    for t, classes in enumerate(weights):
+        for value, w in classes.items():
+            weight = F.when((F.col("tree") == t) & (F.col("label") == value), F.col("times") * F.lit(w)).otherwise(weight)
+    return out.select("o_orderkey", "tree", "times", F.round(weight, 9).alias("weight"))

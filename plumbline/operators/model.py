@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
+from multiprocessing.pool import ThreadPool
 from threading import Lock
 from typing import Any
 
-from pyspark import keyword_only
+from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
     LogisticRegression,
+    RandomForestClassificationModel,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -23,9 +27,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import keep_present
+from plumbline.functions.hashing import DRAW_DIGITS, DRAW_SPAN, digest, hex_number
 from plumbline.operators.balance import NEIGHBOURS, class_counts, smote
 from plumbline.operators.sample import assign_folds
 from plumbline.operators.search import LOGISTIC, SUPPORTED, TREE, all_rows, fold_table, shared_search
+from plumbline.sources.scratch import materialize_once
 
 SEED = 42
 
@@ -96,6 +102,11 @@ BUILDERS: dict[str, Callable[..., Estimator]] = {
 
 CLASS_WEIGHT = "class_weight"
 UNIT_WEIGHT = "unit_weight"
+SUBSAMPLE_WEIGHT = "balanced_subsample"
+ROW_KEY = "row_key"
+TREE_WEIGHT = "tree_weight"
+# chances that a Poisson number of mean 1 is 0, 1 at most, 2 at most ...
+POISSON = list(accumulate(math.exp(-1) / math.factorial(k) for k in range(13)))
 
 
 def add_class_weight(df: DataFrame, label: str) -> DataFrame:
@@ -108,6 +119,61 @@ def add_class_weight(df: DataFrame, label: str) -> DataFrame:
     return df.withColumns({CLASS_WEIGHT: weight, UNIT_WEIGHT: F.lit(1.0)})
 
 
+def poisson_draws(key: Column, trees: int, seed: int = SEED) -> Column:
+    """How often each tree's bootstrap takes the row: Poisson numbers of mean 1 from the digest of seed, key and tree."""
+    cumulated = F.array(*[F.lit(c) for c in POISSON])
+
+    def draw(tree: Column) -> Column:
+        u = hex_number(digest(seed, [key], tree), 1, DRAW_DIGITS) / F.lit(float(DRAW_SPAN))
+        return F.size(F.filter(cumulated, lambda c: u >= c))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), draw)
+
+
+def subsample_weights(rows: DataFrame, label: str, trees: int, seed: int = SEED) -> tuple[DataFrame, list[dict[Any, float]]]:
+    """Rows with their ``draws``, and for every tree the weight of each class: ``n / (classes * n_class)`` in the tree's own sample.
+
+    One aggregate serves all trees.
+    """
+    drawn = materialize_once(rows.withColumn("draws", poisson_draws(F.col(ROW_KEY), trees, seed)), "draws")
+    sums = drawn.groupBy(label).agg(F.array(*[F.sum(F.get("draws", F.lit(t))) for t in range(trees)]).alias("n")).collect()
+    weights = []
+    for t in range(trees):
+        n = {r[label]: r["n"][t] for r in sums if r["n"][t]}
+        weights.append({value: sum(n.values()) / (len(n) * k) for value, k in n.items()})
+    return drawn, weights
+
+
+def subsample_forest(classifier: RandomForestClassifier, rows: DataFrame, label: str, parallelism: int = 4) -> RandomForestClassificationModel:
+    """A forest whose classes are balanced anew in the bootstrap sample of every tree."""
+    trees, seed = classifier.getNumTrees(), classifier.getSeed()
+    drawn, weights = subsample_weights(rows, label, trees, seed)
+    subset = classifier.getFeatureSubsetStrategy()
+    single = classifier.copy({
+        classifier.numTrees: 1, classifier.bootstrap: False, classifier.weightCol: TREE_WEIGHT, classifier.labelCol: label,
+        classifier.featureSubsetStrategy: "sqrt" if subset == "auto" else subset,
+    })
+
+    def grow(t: int) -> RandomForestClassificationModel:
+        weight = F.lit(0.0)
+        for value, w in weights[t].items():
+            weight = F.when(F.col(label) == F.lit(value), F.get("draws", F.lit(t)) * F.lit(w)).otherwise(weight)
+        sample = drawn.withColumn(TREE_WEIGHT, weight).filter(F.col(TREE_WEIGHT) > 0)
+        return single.copy({single.seed: seed + t}).fit(sample)
+
+    with ThreadPool(parallelism) as pool:
+        grown = pool.map(inheritable_thread_target(rows.sparkSession)(grow), range(trees))
+    context = rows.sparkSession.sparkContext
+    package = context._jvm.org.apache.spark.ml.classification
+    array = context._gateway.new_array(package.DecisionTreeClassificationModel, trees)
+    for t, one in enumerate(grown):
+        array[t] = one._java_obj.trees()[0]
+    name = RandomForestClassifier._randomUID()
+    whole = package.RandomForestClassificationModel(name, array, grown[0].numFeatures, max(m.numClasses for m in grown))
+    whole.set(whole.getParam("numTrees"), trees)
+    return RandomForestClassificationModel(whole).setFeaturesCol(classifier.getFeaturesCol())
+
+
 class _Fits:
     """Thread-safe iterator of ``(index, model)``; ``done`` runs after the last fit."""
 
@@ -175,14 +241,21 @@ class BalancedClassifier(Estimator):
         rows = keep_present(dataset, self.features)
         if self.balance:
             rows = smote(rows, self.features, self.label, self.key, self.k, self.seed)
-        rows = rows.select(*self.features, self.label)
         if self.weighted:
-            rows = add_class_weight(rows, self.label)
+            draw = F.col("draw") if self.balance else F.lit(0)
+            rows = rows.withColumn(ROW_KEY, F.concat_ws("|", F.col(f"`{self.key}`").cast("string"), draw.cast("string")))
+            rows = add_class_weight(rows.select(ROW_KEY, *self.features, self.label), self.label)
+        else:
+            rows = rows.select(*self.features, self.label)
         assembled = self._assembler().transform(rows).drop(*self.features)
         return assembled.withColumn(self.label, F.col(self.label).cast("double"))
 
     def _train(self, classifier: Estimator, rows: DataFrame) -> PipelineModel:
-        fitted = classifier.copy({classifier.labelCol: self.label}).fit(rows)
+        weighted = classifier.hasParam("weightCol") and classifier.isDefined("weightCol") and classifier.getWeightCol()
+        if weighted == SUBSAMPLE_WEIGHT:
+            fitted = subsample_forest(classifier, rows, self.label)
+        else:
+            fitted = classifier.copy({classifier.labelCol: self.label}).fit(rows)
         return PipelineModel([self._assembler(), fitted])
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
@@ -202,14 +275,14 @@ def param_grid(classifier: Estimator, grid: Mapping[str, Sequence[Any]]) -> list
     """Every combination of the grid as parameter maps of the classifier.
 
     ``C`` becomes the matching penalty, ``classWeight`` chooses the weight
-    column; ``balanced_subsample`` weighs like ``balanced``.
+    column; ``balanced_subsample`` balances in every tree's own sample.
     """
     builder = ParamGridBuilder()
     for name, values in grid.items():
         if name == "C":
             builder.addGrid(classifier.regParam, [1.0 / c for c in values])
         elif name == "classWeight":
-            columns = [UNIT_WEIGHT if v is None else CLASS_WEIGHT for v in values]
+            columns = [{None: UNIT_WEIGHT, "balanced": CLASS_WEIGHT, "balanced_subsample": SUBSAMPLE_WEIGHT}[v] for v in values]
             builder.addGrid(classifier.weightCol, list(dict.fromkeys(columns)))
         else:
             builder.addGrid(classifier.getParam(name), list(values))

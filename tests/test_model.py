@@ -146,7 +146,28 @@ def test_penalty_follows_the_fitted_rows(spark, n, C):
 
 def test_all_grids_name_real_settings():
     for build, grid, n in (
-        (model.random_forest, model.FOREST_GRID, 36), (model.logistic_regression, model.LOGISTIC_GRID, 6),
+        (model.random_forest, model.FOREST_GRID, 54), (model.logistic_regression, model.LOGISTIC_GRID, 6),
         (model.boosted_trees, model.BOOSTER_GRID, 48), (model.decision_tree, model.TREE_GRID, 18),
     ):
         assert len(model.param_grid(build(), grid)) == n
+
+
+def test_balanced_subsample_forest(spark, prepared, tmp_path):
+    prep, rows = prepared
+    small = ["MonthlyCharges", "TotalCharges", "tenure_bins"]
+    forest = model.random_forest(numTrees=4, maxDepth=4, weightCol=model.SUBSAMPLE_WEIGHT)
+    estimator = model.BalancedClassifier(classifier=forest, features=small, label="Churn", key="customerID", balance=False, weighted=True)
+    train = rows.filter("split = 'train'")
+    fitted = estimator.fit(train)
+    assert fitted.stages[-1].getNumTrees == 4
+    drawn, weights = model.subsample_weights(estimator.training_rows(train), "Churn", 4)
+    for t, classes in enumerate(weights):
+        sums = {r.Churn: r.n for r in drawn.groupBy("Churn").agg(F.sum(F.get("draws", F.lit(t))).alias("n")).collect()}
+        assert len({round(classes[c] * n, 6) for c, n in sums.items()}) == 1
+        assert 0.7 < sum(sums.values()) / train.count() < 1.3
+    path = str(tmp_path / "forest")
+    model.save_model(fitted, path)
+    scored = model.score(fitted, rows)
+    again = model.score(model.load_model(path), rows)
+    assert scored.select("customerID", "prediction").exceptAll(again.select("customerID", "prediction")).count() == 0
+    assert BinaryClassificationEvaluator(labelCol="Churn", rawPredictionCol="positive_probability").evaluate(scored) > 0.7

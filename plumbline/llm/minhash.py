@@ -23,6 +23,7 @@ ROWS = BUCKETS // BANDS
 MARGIN = 0.2  # five standard deviations of the estimate at 0.75
 SMALL_BUCKET = 64
 BLOCK = 2048
+TEXT_BUCKETS = 1 << 18
 BLOCK_SHINGLES = 1 << 19
 SIZE_STEP = 1.34  # a little over 100 / PERCENT: sizes of a link are in the same class or in adjacent ones
 
@@ -120,7 +121,7 @@ def similar_by_sketch(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
 def texts_for(named: DataFrame, ids: list[str], texts: DataFrame) -> DataFrame:
     """The texts (id, th, text) of the documents that columns ``ids`` name, before a join on them."""
     ends = named.select(F.explode(F.array(*ids)).alias("id"))
-    return prune(texts, F.col("id"), ends, F.col("id"))
+    return prune(texts, F.col("id"), ends, F.col("id"), TEXT_BUCKETS)
 
 
 def verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
@@ -311,7 +312,7 @@ def near_duplicates(
     hits = checkpointed(rows.join(centres, "key"))
 
     def linked(pairs: DataFrame) -> DataFrame:
-        return checkpointed(verified(checkpointed(similar_by_sketch(pairs, reps.select("id", "n", "sketch"))), reps, texts))
+        return checkpointed(verified(similar_by_sketch(pairs, reps.select("id", "n", "sketch")), reps, texts))
 
     tried = checkpointed(hits.where("id != c").select(F.col("c").alias("a"), F.col("id").alias("b")).distinct())
     links = linked(tried)
@@ -333,8 +334,14 @@ def near_duplicates(
     more = linked(checkpointed(across.distinct().join(tried, ["a", "b"], "left_anti")))
     if not large.isEmpty():
         more = more.union(links_of_large_buckets(large.select("key", "id", "label"), reps, texts))
-    if not more.isEmpty():
-        found = checkpointed(connected_components(links.union(more)))
+    # the further links join whole components, so only these meet again
+    at = {side: found.select(F.col("id").alias(side), F.col("component").alias(f"c{side}")) for side in ("a", "b")}
+    between = more.join(at["a"], "a", "left").join(at["b"], "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    between = checkpointed(between.distinct())
+    if not between.isEmpty():
+        joined = checkpointed(connected_components(between)).toDF("label", "joined")
+        own = found.select("id", F.col("component").alias("label")).union(joined.select("label", "label")).distinct()
+        found = checkpointed(own.join(joined, "label", "left").select("id", F.coalesce("joined", "label").alias("component")))
     labels = checkpointed(groups.join(found, "id", "left").select("f1", "f2", "doc", F.coalesce("component", "id").alias("label")))
     # an id of several texts can reach further than its first text's smallest id
     lowest = labels.groupBy("label").agg(F.min("doc").alias("component"), F.count("*").alias("members"))

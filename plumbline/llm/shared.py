@@ -7,10 +7,10 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.functions.joins import join_back  # noqa: F401
 from plumbline.sources.scratch import shared_folder
 
 PRUNE_BUCKETS = 1 << 16
-HOT = 256
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -29,44 +29,23 @@ def use_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(folder)
 
 
-def bucket_of(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(PRUNE_BUCKETS)).cast("int")
+def bucket_of(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
-def prune(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
+def prune(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column, buckets: int = PRUNE_BUCKETS) -> DataFrame:
     """Drops rows whose key falls in no bucket of a wanted key, before a join on that key.
 
-    The driver sees the buckets as a bit map of PRUNE_BUCKETS / 64 numbers
+    The driver sees the buckets as a bit map of ``buckets`` / 64 numbers
     whatever the size of ``wanted``, and the plan holds it as one literal. If
     most buckets are taken the filter is left out.
     """
-    bucket = wanted.select(bucket_of(wanted_key).alias("b"))
+    bucket = wanted.select(bucket_of(wanted_key, buckets).alias("b"))
     bit = F.expr("shiftleft(1L, b & 63)")
     words = {r[0]: r[1] for r in bucket.groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(bit).alias("bits")).collect()}
-    if 2 * sum((v & (1 << 64) - 1).bit_count() for v in words.values()) > PRUNE_BUCKETS:
+    if 2 * sum((v & (1 << 64) - 1).bit_count() for v in words.values()) > buckets:
         return df
-    bits = F.from_json(F.lit(json.dumps([words.get(w, 0) for w in range(PRUNE_BUCKETS // 64)])), "array<bigint>")
-    here = bucket_of(key)
+    bits = F.from_json(F.lit(json.dumps([words.get(w, 0) for w in range(buckets // 64)])), "array<bigint>")
+    here = bucket_of(key, buckets)
     word = F.get(bits, F.shiftright(here, 6))
     return df.where(F.call_function("shiftright", word, here.bitwiseAND(F.lit(63))).bitwiseAND(F.lit(1)) == 1)
-
-
-def join_back(left: DataFrame, right: DataFrame, keys: list[str], values: list[str], weight: Column, total: int, spread: Column) -> DataFrame:
-    """Left join with ``values`` of a table of distinct, non-null ``keys``, of which a few may stand on most rows.
-
-    ``weight`` is the number of left rows of a key and ``total`` that of all.
-    Keys with more than 1/HOT of the rows, so fewer than HOT of them, come by
-    broadcast. The rest meets by a shuffle on 128 bits of hash of the keys, and
-    rows that are served already are scattered by ``spread``.
-    """
-    value = F.struct(*[F.col(v) for v in values])
-    often = weight * HOT > F.lit(total)
-    hot = right.where(often).select(*keys, value.alias("__hot"))
-    cold = right.where(~often).select(F.xxhash64(*keys).alias("__k1"), F.xxhash64(F.lit(7), *keys).alias("__k2"), value.alias("__cold"))
-    served = left.join(F.broadcast(hot), keys, "left")
-    hashed = served.withColumns({
-        "__k1": F.when(F.col("__hot").isNull(), F.xxhash64(*keys)).otherwise(F.xxhash64(spread)),
-        "__k2": F.when(F.col("__hot").isNull(), F.xxhash64(F.lit(7), *keys)).otherwise(F.lit(0).cast("long")),
-    })
-    found = hashed.join(cold, ["__k1", "__k2"], "left").withColumn("__hot", F.coalesce("__hot", "__cold"))
-    return found.select(*left.columns, *[F.col(f"__hot.{v}").alias(v) for v in values])

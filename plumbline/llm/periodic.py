@@ -5,11 +5,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.llm.arrow import with_measures
-from plumbline.llm.text import flat, word_hashes
+from plumbline.llm.text import word_hashes
 
 MIN_RUN = 12
 STRIDE = 31

@@ -7,7 +7,6 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.functions.joins import join_back  # noqa: F401
 from plumbline.sources.scratch import shared_folder
 
 PRUNE_BUCKETS = 1 << 16

@@ -20,6 +20,7 @@ END = 2
 STEP = 0.25
 SHARPNESS = 8.0
 PASSES_PER_LENGTH = 3
+ENCODE_BYTES = 1 << 19  # encoding holds some sixty bytes for each byte of text
 
 
 def price(values: np.ndarray, capacity: int) -> np.ndarray:
@@ -139,7 +140,7 @@ def pieces_of(docs: DataFrame, tokenizer: str | Path, id_col: str, text_col: str
 
     def run(batches):
         encoder = BytePairEncoder(path)
-        for part in chunks(batches, "text"):
+        for part in chunks(batches, "text", ENCODE_BYTES):
             out = [[], [], [], [], []]
             for doc, ids in zip(part.column("id").to_pylist(), encoder.encode(part.column("text")), strict=True):
                 raw = np.append(ids, END).astype("<u4")

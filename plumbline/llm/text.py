@@ -58,13 +58,13 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def chunks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about CHUNK_BYTES of text, one row at least."""
+def chunks(batches: Iterator[pa.RecordBatch], text: str, size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of text, one row at least."""
     for batch in batches:
         _, at = flat(batch.column(text))
         start = 0
         while start < len(batch):
-            stop = max(int(np.searchsorted(at, at[start] + CHUNK_BYTES, "right")) - 1, start + 1)
+            stop = max(int(np.searchsorted(at, at[start] + size, "right")) - 1, start + 1)
             yield batch.slice(start, stop - start)
             start = stop
 

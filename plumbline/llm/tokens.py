@@ -15,6 +15,8 @@ LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 4
 WHITE = (9, 10, 11, 12, 13, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 
+KNOWN_WORDS = 1 << 17
+
 
 def byte_letters() -> dict[int, str]:
     """The printable characters that stand for bytes in byte-level vocabularies."""
@@ -24,7 +26,7 @@ def byte_letters() -> dict[int, str]:
 
 
 class BytePairEncoder:
-    """Token ids of texts; each distinct word of a task goes through the tokenizer's model once.
+    """Token ids of texts; a distinct word goes through the tokenizer's model once while at most KNOWN_WORDS are remembered.
 
     Words are split as the vocabulary's own pattern does: an ending after an
     apostrophe, else runs of letters, numbers or other signs with one blank
@@ -85,6 +87,8 @@ class BytePairEncoder:
         ends = np.append(starts[1:], len(points)) if len(starts) else starts
         keys, first, which = np.unique(hash_spans(points, starts, ends, self.number), return_index=True, return_inverse=True)
         ids = []
+        if len(self.known) > KNOWN_WORDS:
+            self.known.clear()
         for key, f in zip(keys.tolist(), first.tolist(), strict=True):
             found = self.known.get(key)
             if found is None:

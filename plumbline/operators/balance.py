@@ -4,17 +4,15 @@ Exact neighbours without comparing all pairs:
 
 1. Equal feature vectors collapse to one row with a count, so a large group of
    copies is one point whose neighbours are its own copies.
-2. Points are projected on one direction. A projection never lengthens a
-   distance, so a point further away on it than the current k-th neighbour
-   cannot be a neighbour.
-3. The projection is cut into cells of equal size. The points next to a point
-   inside its cell bound the distance to its k-th neighbour from above.
+2. Points are dealt to cells. From WIDE columns on these are small and have
+   bounding boxes (:mod:`plumbline.operators.neighbours`): a box that is further
+   away than the current k-th neighbour holds no neighbour. A single column is
+   cut into cells of equal size.
+3. The points of its own cell bound the distance of a point to its k-th
+   neighbour from above.
 4. Each point visits the cells its bound reaches, keeps what lies within the
    bound, and ranks it. Nothing is sampled or capped.
 
-From WIDE columns on, cells with bounding boxes replace the projection
-(:mod:`plumbline.operators.neighbours`): they bound distances in many columns.
-
 Ties between different vectors at one distance go to the smaller key. All
 random choices come from the md5 digest of seed, row key and draw number.
 """
@@ -41,7 +39,7 @@ CELL_ROWS = 2_048
 MAX_CELLS = 20_000
 HOT_VECTOR_ROWS = 10_000
 MAX_HOT_VECTORS = 100_000
-WIDE = 8
+WIDE = 2
 OTHER = ("vid AS other", "vkey AS other_key", "copies AS other_copies", "v AS nv")
 
 

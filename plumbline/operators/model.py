@@ -240,7 +240,8 @@ class BalancedClassifier(Estimator):
     def training_rows(self, dataset: DataFrame) -> DataFrame:
         rows = keep_present(dataset, self.features)
         if self.balance:
-            rows = smote(rows, self.features, self.label, self.key, self.k, self.seed)
+            # a fit reads its rows many times
+            rows = materialize_once(smote(rows, self.features, self.label, self.key, self.k, self.seed), "balanced")
         if self.weighted:
             draw = F.col("draw") if self.balance else F.lit(0)
             rows = rows.withColumn(ROW_KEY, F.concat_ws("|", F.col(f"`{self.key}`").cast("string"), draw.cast("string")))

@@ -1,7 +1,8 @@
-"""Cells with bounding boxes over vectors of many columns, for exact neighbour searches.
+"""Cells with bounding boxes over vectors, for exact neighbour searches.
 
-On wide one-hot tables a projection says little about a distance, but a cell in
-which many columns are constant lies far from every vector that differs in them.
+A projection says little about a distance in several columns; the boxes of small
+cells do. On wide one-hot tables a cell in which many columns are constant lies
+far from every vector that differs in them.
 A tree of column splits, fitted on a bounded sample, deals all vectors to cells;
 the box of a cell holds the least and greatest value of every column over all
 its vectors. A vector visits the cells whose box its search radius reaches, so
@@ -24,6 +25,7 @@ CELL_VECTORS = 32
 MAX_CELLS = 20_000
 MAX_BOX_VALUES = 4_000_000
 STEP = 256
+ASKED = 1_024
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -76,22 +78,63 @@ def fit_tree(sample: np.ndarray, leaf: float) -> Tree:
 
 @dataclass
 class Boxes:
-    """Least and greatest values of every cell and its number of vectors; empty cells hold none."""
+    """Least and greatest values of every cell and its number of vectors, and the same for every node of the tree; empty cells hold none."""
 
+    tree: Tree
     low: np.ndarray
     high: np.ndarray
     rows: np.ndarray
 
-    def distances(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Squared distance of every vector to the nearest and to the farthest point of every box."""
-        near, far = np.zeros((len(v), len(self.low))), np.zeros((len(v), len(self.low)))
+    def __post_init__(self) -> None:
+        leaf, cell = self.tree.column < 0, self.tree.next
+        shape = (len(leaf), self.low.shape[1])
+        self.node_low, self.node_high, self.node_rows = np.full(shape, np.inf), np.full(shape, -np.inf), np.zeros(len(leaf), np.int64)
+        self.node_low[leaf], self.node_high[leaf], self.node_rows[leaf] = self.low[cell[leaf]], self.high[cell[leaf]], self.rows[cell[leaf]]
+        for node in np.flatnonzero(~leaf)[::-1]:  # children stand behind their parent
+            below = slice(cell[node], cell[node] + 2)
+            self.node_low[node], self.node_high[node] = self.node_low[below].min(axis=0), self.node_high[below].max(axis=0)
+            self.node_rows[node] = self.node_rows[below].sum()
+
+    def distances(self, v: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Squared distance of every vector to the nearest and to the farthest point of the box of its node."""
+        near, far = np.zeros(len(v)), np.zeros(len(v))
         for i in range(v.shape[1]):
-            x = v[:, i, None]
-            below, above = self.low[:, i] - x, x - self.high[:, i]
+            below, above = self.node_low[node, i] - v[:, i], v[:, i] - self.node_high[node, i]
             near += np.maximum(np.maximum(below, above), 0) ** 2
             far += np.maximum(np.abs(below), np.abs(above)) ** 2
         return near, far
 
+    def reached(self, v: np.ndarray, needed: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs (vector, cell) whose box is within the vector's squared ``reach``, and the reach.
+
+        All vectors go down the tree together, a level at a time. On the way the
+        reach falls to the farthest point of the boxes that hold ``needed`` other
+        vectors, so a vector meets the nodes around it and not all cells.
+        """
+        reach = reach.copy()
+        row, node = np.arange(len(v)), np.zeros(len(v), np.int64)
+        while True:
+            near, far = self.distances(v[row], node)
+            order = np.lexsort((far, row))
+            sorted_row, counts = row[order], self.node_rows[node[order]]
+            total = np.cumsum(counts)
+            start = np.searchsorted(sorted_row, np.arange(len(v)))
+            before = total[start] - counts[start]
+            # the vector itself may be among those counted
+            enough = np.flatnonzero(total - before[sorted_row] > needed[sorted_row])
+            which, place = np.unique(sorted_row[enough], return_index=True)
+            reach[which] = np.minimum(reach[which], far[order][enough[place]] * (1 + 1e-9))
+            near_enough = near <= reach[row]
+            row, node = row[near_enough], node[near_enough]
+            inner = self.tree.column[node] >= 0
+            if not inner.any():
+                return row, self.tree.next[node], reach
+            times = np.where(inner, 2, 1)
+            child = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            row, node = np.repeat(row, times), np.repeat(np.where(inner, self.tree.next[node], node), times) + child
+            some = self.node_rows[node] > 0
+            row, node = row[some], node[some]
+
 
 def with_cells(vectors: DataFrame, cell_vectors: int = CELL_VECTORS) -> tuple[DataFrame, Boxes]:
     """The vectors (``vid, v`` and more) with their ``cell``, written once, and the boxes of all cells.
@@ -141,10 +184,10 @@ def with_cells(vectors: DataFrame, cell_vectors: int = CELL_VECTORS) -> tuple[Da
     edges = placed.select("v", "cell").mapInArrow(partial, "cell int, i int, low double, high double, rows bigint")
     found = edges.groupBy("cell", "i").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("rows").alias("rows")).toPandas()
     shape = (tree.leaves, sample.shape[1])
-    boxes = Boxes(np.full(shape, np.inf), np.full(shape, np.inf), np.zeros(tree.leaves, np.int64))
+    low, high, rows = np.full(shape, np.inf), np.full(shape, -np.inf), np.zeros(tree.leaves, np.int64)
     cell, i = found.cell.to_numpy(int), found.i.to_numpy(int)
-    boxes.low[cell, i], boxes.high[cell, i], boxes.rows[cell] = found.low, found.high, found.rows
-    return placed, boxes
+    low[cell, i], high[cell, i], rows[cell] = found.low, found.high, found.rows
+    return placed, Boxes(tree, low, high, rows)
 
 
 def visits(placed: DataFrame, boxes: Boxes, k: int) -> DataFrame:
@@ -153,44 +196,34 @@ def visits(placed: DataFrame, boxes: Boxes, k: int) -> DataFrame:
     ``needed`` is ``k`` less its other copies. ``reach2`` bounds the squared
     distance to that many other vectors from above: by the vectors of its own
     cell, and by the farthest points of the boxes of enough vectors. Cells whose
-    box is farther away hold no neighbour.
+    box is farther away hold no neighbour. Boxes of the tree's nodes rule out
+    most cells many at a time.
     """
 
     def bound(table: pa.Table) -> pa.Table:
         v, needed = matrix(table.column("v").combine_chunks()), np.asarray(table.column("needed"))
         reach = np.full(len(v), np.inf)
-        square = (v * v).sum(axis=1)
         for s in range(0, len(v), STEP):
             part = slice(s, s + STEP)
-            d = np.maximum(square[part, None] + square - 2 * v[part] @ v.T, 0)
+            d = np.zeros((len(v[part]), len(v)))
+            for i in range(v.shape[1]):
+                d += (v[part, i, None] - v[:, i]) ** 2
             d[np.arange(len(d)), np.arange(s, s + len(d))] = np.inf
             d.partition(min(k, len(v) - 1), axis=1)
             d = np.sort(d[:, :k], axis=1)
             at = np.maximum(needed[part] - 1, 0)
             have = at < d.shape[1]
             reach[part] = np.where(have, d[np.arange(len(d)), np.minimum(at, d.shape[1] - 1)], np.inf)
-        return table.append_column("reach2", pa.array(reach))
+        return table.append_column("reach2", pa.array(reach * (1 + 1e-9)))
 
     def run(batches):
-        occupied = np.flatnonzero(boxes.rows)
-        inside = Boxes(boxes.low[occupied], boxes.high[occupied], boxes.rows[occupied])
-        total = int(inside.rows.sum())
         for batch in batches:
-            for s in range(0, len(batch), STEP):
-                part = batch.slice(s, STEP)
-                v, needed = matrix(part.column("v")), np.asarray(part.column("needed"))
-                near, far = inside.distances(v)
-                order = np.argsort(far, axis=1)
-                # the vector itself may be among those counted
-                enough = np.cumsum(inside.rows[order], axis=1) >= np.minimum(needed + 1, total)[:, None]
-                limit = np.take_along_axis(far, order, axis=1)[np.arange(len(v)), enough.argmax(axis=1)]
-                limit = np.where(needed < total, limit, np.inf)
-                norm = (v * v).sum(axis=1)
-                reach = np.minimum(np.asarray(part.column("reach2")), limit) * (1 + 1e-9) + 1e-9 * norm + 1e-12
-                row, cell = np.nonzero(near <= reach[:, None])
+            for s in range(0, len(batch), ASKED):
+                part = batch.slice(s, ASKED)
+                row, cell, reach = boxes.reached(matrix(part.column("v")), np.asarray(part.column("needed")), np.asarray(part.column("reach2")))
                 out = part.select(["vid", "copies", "needed"]).take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
-                    [*out.columns, pa.array(reach[row]), part.column("v").take(pa.array(row)), pa.array(occupied[cell].astype(np.int32))],
+                    [*out.columns, pa.array(reach[row]), part.column("v").take(pa.array(row)), pa.array(cell.astype(np.int32))],
                     names=["vid", "copies", "needed", "reach2", "v", "cell"],
                 )
 

@@ -148,6 +148,29 @@ def one_hot_rows(n: int) -> list[tuple[float, ...]]:
     return out
 
 
+def test_a_few_columns_compare_few_pairs(spark, monkeypatch):
+    ranked, pairs = balance._ranked, []
+
+    def counted(visiting, others, met, n_features, k):
+        pairs.append(visiting.join(others, "cell").count())
+        return ranked(visiting, others, met, n_features, k)
+
+    monkeypatch.setattr(balance, "_ranked", counted)
+    r, rows = random.Random(3), []
+    for _ in range(1500):
+        size = r.lognormvariate(0, 1)
+        kind = r.randrange(4)
+        rows.append((size, size * r.gauss(1, 0.05), size**0.7 * r.gauss(1, 0.05), *(float(kind == i) for i in range(4))))
+    df = spark.createDataFrame([(i, *row) for i, row in enumerate(rows)], ["key", *(f"f{i}" for i in range(7))])
+    points_ = balance.feature_points(df, [f"f{i}" for i in range(7)], "key")
+    near = balance.nearest_vectors(balance.distinct_vectors(points_).cache(), 7, 5)
+    found = {}
+    for row in points_.join(near, "vid").collect():
+        found.setdefault(row.key, {})[row["rank"]] = tuple(row.nv)
+    assert sum(pairs) < 0.15 * len(rows) ** 2
+    assert [[found[i][j] for j in range(5)] for i in range(len(rows))] == brute_neighbours(rows, 5)
+
+
 @pytest.mark.parametrize("sample", [neighbours.SAMPLE, 60])
 def test_wide_one_hot_tables_visit_few_cells(spark, monkeypatch, sample):
     monkeypatch.setattr(neighbours, "SAMPLE", sample)

@@ -10,7 +10,7 @@ from multiprocessing.pool import ThreadPool
 from threading import Lock
 from typing import Any
 
-from pyspark import inheritable_thread_target, keyword_only
+from pyspark import SparkContext, inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -174,6 +174,17 @@ def subsample_forest(classifier: RandomForestClassifier, rows: DataFrame, label:
     return RandomForestClassificationModel(whole).setFeaturesCol(classifier.getFeaturesCol())
 
 
+def without_summary(fitted: Model) -> Model:
+    """The fitted model without the summary of its training.
+
+    The summary holds the session, which goes to the tasks with the model that
+    scores; a session that has observed metrics cannot be sent.
+    """
+    if getattr(fitted, "hasSummary", False):
+        fitted._java_obj.setSummary(SparkContext._active_spark_context._jvm.scala.Option.empty())
+    return fitted
+
+
 class _Fits:
     """Thread-safe iterator of ``(index, model)``; ``done`` runs after the last fit."""
 
@@ -256,7 +267,7 @@ class BalancedClassifier(Estimator):
         if weighted == SUBSAMPLE_WEIGHT:
             fitted = subsample_forest(classifier, rows, self.label)
         else:
-            fitted = classifier.copy({classifier.labelCol: self.label}).fit(rows)
+            fitted = without_summary(classifier.copy({classifier.labelCol: self.label}).fit(rows))
         return PipelineModel([self._assembler(), fitted])
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from plumbline.operators import gate, model
@@ -39,6 +40,26 @@ def test_quality_floors(prepared, name):
     assert 0.7 <= accuracy <= 1.0
 
 
+@pytest.mark.parametrize("name", ["random_forest", "logistic_regression"])
+def test_models_score_in_a_session_that_observed_metrics(spark, name):
+    seen = Observation()
+    rows = spark.createDataFrame([(i, float(i % 7), float(i % 7 > 3)) for i in range(60)], "id bigint, a double, label double")
+    rows.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 60
+    settings = {"numTrees": 2, "maxDepth": 2} if name == "random_forest" else {"maxIter": 5}
+    fitted, accuracy = model.fit_directly(rows, model.BUILDERS[name](**settings), ["a"], "label", "id")
+    assert accuracy == 1.0
+    assert model.score(fitted, rows).filter("prediction = label").count() == 60
+
+
+def test_balanced_rows_are_made_once(spark):
+    rows = spark.createDataFrame([(i, float(i % 7), float(i), float(i % 5 == 0)) for i in range(60)], "id bigint, a double, b double, label double")
+    estimator = model.BalancedClassifier(classifier=model.decision_tree(maxDepth=2), features=["a", "b"], label="label", key="id")
+    made = estimator.training_rows(rows)
+    assert made.count() == 96
+    assert made.inputFiles() and all("/balanced-" in f for f in made.inputFiles())
+
+
 def test_default_settings():
     forest, booster = model.random_forest(), model.boosted_trees()
     assert (forest.getMaxDepth(), forest.getNumTrees(), forest.getMinInstancesPerNode(), forest.getSeed()) == (10, 100, 1, 42)

@@ -16,6 +16,7 @@ from plumbline.llm.text import chunks
 
 SUPPORT = 0.1
 VARIED = 0.5
+LARGE = 2
 BROADCAST_HOSTS = 20_000
 
 # Roles of elements by HTML and by common names of classes and ids.
@@ -167,11 +168,14 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
     Tokens whose counts agree on every page of the host form an equivalence
     class; the vectors of counts are compared by the exclusive or of a hash of
     (page, count), which Spark adds up before the shuffle, so no host is
-    gathered. A class is valid if it stands on SUPPORT of the host's pages and
-    below a token of a class that is valid too. Content slots are the article or
-    main elements that stand once on each of their class's pages; without any,
-    the tokens whose own text differs on more than VARIED of their pages. Hidden
-    roles (menus, forms, adverts and so on) are never slots.
+    gathered. The template is made of the classes of at least LARGE tokens that
+    stand on SUPPORT of the host's pages; other tokens are data between them.
+    Content slots are the article or main elements that stand once on each of
+    their class's pages; without any, the tokens on SUPPORT of the pages whose
+    own text differs on more than VARIED of their pages. Where such a slot is
+    data below a template token, that place holds content: rarer data below the
+    same token whose text differs is a slot too. Hidden roles (menus, forms,
+    adverts and so on) are never slots.
     """
     counted = checkpointed(occurrences(pages).groupBy("host", "token").agg(
         F.first("parent").alias("parent"), F.first("tag").alias("tag"), F.first("hidden").alias("hidden"), F.count("*").alias("pages"),
@@ -180,15 +184,19 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
     ))
     all_pages = counted.where("token = 0").select("host", F.col("pages").alias("all"))
     classes = counted.groupBy("host", "pages", "total", "vector").agg(F.count("*").alias("members"))
-    valid = (
-        counted.join(classes, ["host", "pages", "total", "vector"]).join(all_pages, "host")
-        .where(F.col("pages") >= F.col("all") * SUPPORT)
-    )
-    above = valid.select("host", F.col("token").alias("parent"))
-    nested = valid.where("token != 0 and not hidden").join(above, ["host", "parent"])
-    container = F.col("tag").isin(*CONTAINERS) & (F.col("total") == F.col("pages"))
+    frequent = F.col("pages") >= F.col("all") * SUPPORT
+    template = frequent & ((F.col("members") >= LARGE) | (F.col("token") == 0))
     varied = (F.col("worded") > 0) & (F.col("texts") > F.col("worded") * VARIED)
-    marked = nested.withColumn("container", container).where(container | varied)
+    container = frequent & F.col("tag").isin(*CONTAINERS) & (F.col("total") == F.col("pages"))
+    tokens = counted.join(classes, ["host", "pages", "total", "vector"]).join(all_pages, "host").select(
+        "host", "token", "parent", "hidden", *(c.alias(n) for n, c in (("frequent", frequent), ("template", template), ("varied", varied), ("container", container))),
+    )
+    shown = tokens.where("token != 0 and not hidden and (varied or container)")
+    places = shown.where("varied and frequent and not template").select("host", "parent").distinct().join(
+        tokens.where("template").select("host", F.col("token").alias("parent")), ["host", "parent"], "left_semi"
+    )
+    rare = shown.where("not frequent").join(places, ["host", "parent"], "left_semi")
+    marked = shown.where("frequent").select("host", "token", "container").unionByName(rare.select("host", "token", "container"))
     best = marked.withColumn("any", F.max("container").over(Window.partitionBy("host"))).where("container = any")
     return best.groupBy("host").agg(F.sort_array(F.collect_list("token")).alias("slots"))
 

@@ -37,6 +37,15 @@ def test_host_without_article(spark):
     assert got == {i: f"Story {i * 7919} More {i}" for i in range(30)}
 
 
+def test_equivalence_classes_say_where_rare_content_stands(spark):
+    rare = lambda i, name: f"<blockquote class='{name}{i}'>Seldom {name} {i}</blockquote>" if i in (3, 4) else ""
+    page = lambda i: BODY.format(main=(
+        f"<div class='wrap'>{rare(i, 'out')}<div class='top'>Our site</div><div class='story'><p>Story {i * 7919}</p>{rare(i, 'in')}<p>More {i}</p></div></div>"
+    ))
+    got = texts(spark, [(f"http://c.d/{i}", page(i)) for i in range(30)])
+    assert got == {i: f"Story {i * 7919} " + (f"Seldom in {i} " if i in (3, 4) else "") + f"More {i}" for i in range(30)}
+
+
 def test_single_page_host_and_plain_text(spark):
     got = texts(spark, [("http://e.f/", BODY.format(main="<p>Alone</p>")), ("http://g.h/", "just text"), ("::bad", "<p>a<p>b")])
     assert got == {0: "Alone", 1: "just text", 2: "a b"}

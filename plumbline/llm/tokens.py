@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import CharDelimiterSplit
 
 from plumbline.llm.text import flat, hash_spans, mix
 
@@ -15,7 +16,10 @@ LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 4
 WHITE = (9, 10, 11, 12, 13, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 
-KNOWN_WORDS = 1 << 17
+KNOWN_WORDS = 1 << 19  # with their ids some twenty-five megabytes
+KNOWN_IDS = 1 << 21
+SENT_BYTES = 1 << 16  # the tokenizer holds some hundreds of bytes for each id it returns
+APART = 10  # no printable character, so it stands for no byte
 
 
 def byte_letters() -> dict[int, str]:
@@ -26,19 +30,26 @@ def byte_letters() -> dict[int, str]:
 
 
 class BytePairEncoder:
-    """Token ids of texts; a distinct word goes through the tokenizer's model once while at most KNOWN_WORDS are remembered.
+    """Token ids of texts; distinct words go through the tokenizer's model many at a time, and those it has seen are remembered.
 
     Words are split as the vocabulary's own pattern does: an ending after an
     apostrophe, else runs of letters, numbers or other signs with one blank
-    before them, else white space up to the last one before a word.
+    before them, else white space up to the last one before a word. At most
+    KNOWN_WORDS words and KNOWN_IDS ids are kept from one call to the next.
     """
 
     def __init__(self, path: str):
-        self.model = Tokenizer.from_file(path).model
-        self.translate = str.maketrans({chr(b): c for b, c in byte_letters().items()})
+        self.words = Tokenizer(Tokenizer.from_file(path).model)
+        self.words.pre_tokenizer = CharDelimiterSplit(chr(APART))
+        self.letters = np.array([ord(c) for _, c in sorted(byte_letters().items())], "<u4")
         self.kind = np.zeros(0x110000, np.uint8)
         self.number = mix(np.arange(1, 0x110001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        self.known: dict[int, np.ndarray] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Hashes of known words in order, where the ids of each begin in ``ids``, and how many they are."""
+        self.known, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
 
     def kinds(self, points: np.ndarray) -> np.ndarray:
         new = np.unique(points[self.kind[points] == 0])
@@ -76,33 +87,50 @@ class BytePairEncoder:
             start[mark[hit] + 1 + len(ending)] = True
         return np.flatnonzero(start[:n])
 
+    def tokenize(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words at these bytes, one after the other, and the number of ids of each word."""
+        ids, sizes = [], []
+        total = np.cumsum(ends - starts)
+        i = 0
+        while i < len(starts):
+            j = max(int(np.searchsorted(total, total[i] - (ends[i] - starts[i]) + SENT_BYTES, "right")), i + 1)
+            long = ends[i:j] - starts[i:j] + 1
+            last = np.cumsum(long) - 1
+            place = np.arange(last[-1] + 1) - np.repeat(last + 1 - long - starts[i:j], long)
+            sent = self.letters[data[np.minimum(place, len(data) - 1)]]
+            sent[last] = APART
+            found = self.words.encode(sent.tobytes().decode("utf-32-le"), add_special_tokens=False)
+            ids.append(np.array(found.ids, np.uint32))
+            sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=j - i))
+            i = j
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def learn(self, keys: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        """Adds new words (hashes in order) to the known ones."""
+        place = np.searchsorted(self.known, keys)
+        self.known, self.size = np.insert(self.known, place, keys), np.insert(self.size, place, size)
+        self.begin = np.insert(self.begin, place, len(self.ids) + np.cumsum(size) - size)
+        self.ids = np.concatenate((self.ids, ids))
+
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         data, at = flat(texts)
-        chars = np.zeros(len(data) + 1, np.int64)
-        np.cumsum((data & 0xC0) != 0x80, out=chars[1:])
-        rows = chars[at]
-        joined = data.tobytes().decode("utf-8", "surrogatepass")
-        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        lead = np.flatnonzero((data & 0xC0) != 0x80)
+        rows = np.searchsorted(lead, at)
+        points = np.frombuffer(data.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
         starts = self.starts(points, rows)
-        ends = np.append(starts[1:], len(points)) if len(starts) else starts
-        keys, first, which = np.unique(hash_spans(points, starts, ends, self.number), return_index=True, return_inverse=True)
-        ids = []
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        for key, f in zip(keys.tolist(), first.tolist(), strict=True):
-            found = self.known.get(key)
-            if found is None:
-                word = joined[starts[f] : ends[f]].encode("utf-8", "surrogatepass").decode("latin-1").translate(self.translate)
-                found = self.known[key] = np.array([t.id for t in self.model.tokenize(word)], np.uint32)
-            ids.append(found)
-        if not ids:
+        if not len(starts):
             return [np.zeros(0, np.uint32)] * len(texts)
-        size = np.array([len(x) for x in ids])
-        begin = np.concatenate(([0], np.cumsum(size)[:-1]))
-        pool = np.concatenate(ids)
-        many = size[which]
+        ends = np.append(starts[1:], len(points))
+        keys, first, which = np.unique(hash_spans(points, starts, ends, self.number), return_index=True, return_inverse=True)
+        if len(self.known) > KNOWN_WORDS or len(self.ids) > KNOWN_IDS:
+            self.forget()
+        new = np.flatnonzero(~np.isin(keys, self.known, assume_unique=True))
+        if len(new):
+            byte = np.append(lead, len(data))
+            self.learn(keys[new], *self.tokenize(data, byte[starts[first[new]]], byte[ends[first[new]]]))
+        known = np.searchsorted(self.known, keys)[which]
+        many = self.size[known]
         total = np.concatenate(([0], np.cumsum(many)))
-        place = np.arange(total[-1]) - np.repeat(total[:-1] - begin[which], many)
-        out = pool[place]
+        out = self.ids[np.arange(total[-1]) - np.repeat(total[:-1] - self.begin[known], many)]
         bounds = total[np.searchsorted(starts, rows)]
         return [out[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]

@@ -11,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from plumbline.llm import tokens
 from plumbline.llm.packing import fractional, pack_documents, plan
 from plumbline.llm.tokens import BytePairEncoder
 
@@ -38,6 +39,32 @@ def test_ids_equal_the_tokenizers(texts):
     assert [x.tolist() for x in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_words_go_to_the_tokenizer_once_and_many_at_a_time(monkeypatch):
+    """A vocabulary beyond 131,072 words is remembered, and a call of the tokenizer serves many words; both stay bounded."""
+    words = [f" w{i}x{i * 7919 % 100_003}" for i in range(200_000)]
+    texts = pa.array(["".join(words[i : i + 20_000]) for i in range(0, len(words), 20_000)])
+    encoder, sent = BytePairEncoder(PATH), []
+    plain = encoder.words
+
+    class Counting:
+        def encode(self, text, **settings):
+            sent.append(len(text))
+            return plain.encode(text, **settings)
+
+    encoder.words = Counting()
+    first = [encoder.encode(texts.slice(i, 1)) for i in range(len(texts))]
+    assert 0 < len(sent) < len(words) / 1000 and max(sent) <= tokens.SENT_BYTES * 1.5
+    sent.clear()
+    again = [encoder.encode(texts.slice(i, 1)) for i in range(len(texts))]
+    assert not sent
+    assert all((a[0] == b[0]).all() for a, b in zip(first, again, strict=True))
+    monkeypatch.setattr(tokens, "KNOWN_WORDS", 30_000)
+    small = BytePairEncoder(PATH)
+    for i in range(len(texts)):
+        assert (small.encode(texts.slice(i, 1))[0] == first[i][0]).all()
+        assert len(small.known) <= 30_000 + 20_000
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 40), st.integers(1, 300), max_size=25))
 def test_plan_holds_every_piece_once(counts):

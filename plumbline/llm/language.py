@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -134,12 +135,20 @@ def train_language_model(
     or less if that would reject over REJECT_SHARE of what is predicted rightly.
     """
     features = sample_features(docs, key, text_col, lang_col, per_language)
-    rows = sorted(features.collect(), key=lambda r: (r["draw"], r["same"], r["lang"])) if features is not None else []
+    rows = sampled_rows(features) if features is not None else []
     if not rows:
         return LanguageModel([], np.zeros((0, BUCKETS)), np.zeros(0), 1.0, 1.0)
     return fit(rows, epochs, seed)
 
 
+def sampled_rows(features: DataFrame) -> list[dict]:
+    """The sample in the order of its hashes: the counts stay in Arrow's buffers, which go back to the system whole."""
+    table = features.select("lang", "draw", "same", "buckets", "counts").toArrow()
+    order = pc.sort_indices(table, [("draw", "ascending"), ("same", "ascending"), ("lang", "ascending")]).to_pylist()
+    lang, buckets, counts = (table[c].to_pylist() if c == "lang" else [v.as_buffer() for v in table[c]] for c in ("lang", "buckets", "counts"))
+    return [{"lang": lang[i], "buckets": buckets[i], "counts": counts[i]} for i in order]
+
+
 def fit(rows: list, epochs: int = EPOCHS, seed: int = 7) -> LanguageModel:
     """The model from rows with ``lang``, ``buckets`` and ``counts``; every fifth row only calibrates."""
     languages = sorted({r["lang"] for r in rows})

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,3 +65,14 @@ def test_shared_documents(spark):
     assert {r.doc_id for r in got} == {r.doc_id for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 5 == 0}
     assert sum(r.lang == r.lang_pred for r in got) >= 0.98 * len(got)
     assert sum(r.rejected for r in got) <= 0.02 * len(got)
+
+
+def test_the_sample_stays_in_arrow_buffers(spark):
+    """Rows come in the order of their hashes and as views of a few large buffers, not as an object for each value."""
+    docs = spark.createDataFrame([*labelled(200), (900, "a", "aa", "x")], "doc_id long, text string, lang string, score string")
+    features = language.sample_features(docs, F.col("doc_id"), "text", "lang", 100)
+    got = language.sampled_rows(features)
+    plain = sorted(features.collect(), key=lambda r: (r["draw"], r["same"], r["lang"]))
+    assert [(r["lang"], bytes(r["buckets"]), bytes(r["counts"])) for r in got] == [(r["lang"], bytes(r["buckets"]), bytes(r["counts"])) for r in plain]
+    assert all(isinstance(r["counts"], pa.Buffer) for r in got)
+    assert language.dense(got, 0, len(got)).shape == (len(got), language.BUCKETS)

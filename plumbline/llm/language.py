@@ -87,7 +87,10 @@ def softmax(logits: np.ndarray) -> np.ndarray:
 
 
 def sample_features(docs: DataFrame, key: Column, text_col: str, lang_col: str, per_language: int) -> DataFrame:
-    """Bucket counts of a sample with at most ``per_language`` texts of each language, by hash of the key."""
+    """Bucket counts of a sample with at most ``per_language`` texts of each language, by hash of the key.
+
+    Buckets take two bytes each; the counts of a text take one, two or four each, as its largest needs.
+    """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
     counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}
     if not counts:
@@ -104,9 +107,11 @@ def sample_features(docs: DataFrame, key: Column, text_col: str, lang_col: str,
             buckets, row = subwords(data, at)
             keys, n = np.unique(row.astype(np.int64) * BUCKETS + buckets, return_counts=True)
             cuts = np.searchsorted(keys, np.arange(len(at)) * BUCKETS)
+            spans = [*zip(cuts[:-1], cuts[1:], strict=True)]
+            held = (keys % BUCKETS).astype(np.uint16)
             packed = [
-                pa.array([v[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
-                for v in ((keys % BUCKETS).astype(np.int32), n.astype(np.int32))
+                pa.array([held[a:b].tobytes() for a, b in spans], pa.binary()),
+                pa.array([n[a:b].astype(np.min_scalar_type(n[a:b].max(initial=0))).tobytes() for a, b in spans], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], *packed], names=["lang", "draw", "same", "buckets", "counts"])
 
@@ -118,8 +123,9 @@ def sample_features(docs: DataFrame, key: Column, text_col: str, lang_col: str,
 def dense(rows: list, lo: int, hi: int) -> np.ndarray:
     x = np.zeros((hi - lo, BUCKETS), np.float32)
     for i, r in enumerate(rows[lo:hi]):
-        c = np.frombuffer(r["counts"], np.int32).astype(np.float32)
-        x[i, np.frombuffer(r["buckets"], np.int32)] = c / (c.sum() + PRIOR)
+        buckets = np.frombuffer(r["buckets"], np.uint16)
+        c = np.frombuffer(r["counts"], f"u{len(r['counts']) // len(buckets)}" if len(buckets) else np.uint8).astype(np.float32)
+        x[i, buckets] = c / (c.sum() + PRIOR)
     return x
 
 
@@ -129,21 +135,42 @@ def train_language_model(
 ) -> LanguageModel:
     """Fits embeddings and softmax by stochastic gradient descent on a bounded sample.
 
-    The driver gets at most ``per_language`` sparse rows of at most BUCKETS
-    counts for each language. Every fifth row is left out of the descent; on
-    these the temperature is chosen by likelihood. The threshold is REJECT_BELOW,
-    or less if that would reject over REJECT_SHARE of what is predicted rightly.
+    The sample, at most ``per_language`` sparse rows of at most BUCKETS counts
+    for each language, meets in one task; the driver gets the model alone. Every
+    fifth row is left out of the descent; on these the temperature is chosen by
+    likelihood. The threshold is REJECT_BELOW, or less if that would reject over
+    REJECT_SHARE of what is predicted rightly.
     """
     features = sample_features(docs, key, text_col, lang_col, per_language)
-    rows = sampled_rows(features) if features is not None else []
-    if not rows:
+
+    def run(batches):
+        parts = [b for b in batches if len(b)]
+        if parts:
+            m = fit(in_order(pa.Table.from_batches(parts)), epochs, seed)
+            own = [m.languages], [m.scores.tobytes()], [m.bias.tobytes()], [m.temperature], [m.threshold]
+            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(own, MODEL, strict=True)], schema=MODEL)
+
+    fitted = "languages array<string>, scores binary, bias binary, temperature double, threshold double"
+    row = features.select(*SAMPLE).repartition(1).mapInArrow(run, fitted).first() if features is not None else None
+    if row is None:
         return LanguageModel([], np.zeros((0, BUCKETS)), np.zeros(0), 1.0, 1.0)
-    return fit(rows, epochs, seed)
+    scores = np.frombuffer(row["scores"], np.float32).reshape(-1, BUCKETS)
+    return LanguageModel(list(row["languages"]), scores, np.frombuffer(row["bias"], np.float32), row["temperature"], row["threshold"])
+
+
+SAMPLE = ("lang", "draw", "same", "buckets", "counts")
+MODEL = pa.schema([
+    ("languages", pa.list_(pa.string())), ("scores", pa.binary()), ("bias", pa.binary()), ("temperature", pa.float64()), ("threshold", pa.float64()),
+])
 
 
 def sampled_rows(features: DataFrame) -> list[dict]:
-    """The sample in the order of its hashes: the counts stay in Arrow's buffers, which go back to the system whole."""
-    table = features.select("lang", "draw", "same", "buckets", "counts").toArrow()
+    """The sample in the order of its hashes, as a caller outside Spark's tasks gets it."""
+    return in_order(features.select(*SAMPLE).toArrow())
+
+
+def in_order(table: pa.Table) -> list[dict]:
+    """Rows in the order of their hashes: the counts stay in Arrow's buffers, which go back to the system whole."""
     order = pc.sort_indices(table, [("draw", "ascending"), ("same", "ascending"), ("lang", "ascending")]).to_pylist()
     lang, buckets, counts = (table[c].to_pylist() if c == "lang" else [v.as_buffer() for v in table[c]] for c in ("lang", "buckets", "counts"))
     return [{"lang": lang[i], "buckets": buckets[i], "counts": counts[i]} for i in order]

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import zlib
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -76,3 +77,29 @@ def test_the_sample_stays_in_arrow_buffers(spark):
     assert [(r["lang"], bytes(r["buckets"]), bytes(r["counts"])) for r in got] == [(r["lang"], bytes(r["buckets"]), bytes(r["counts"])) for r in plain]
     assert all(isinstance(r["counts"], pa.Buffer) for r in got)
     assert language.dense(got, 0, len(got)).shape == (len(got), language.BUCKETS)
+
+
+def test_the_driver_gets_the_model_without_the_sample(spark, monkeypatch):
+    docs = spark.createDataFrame(labelled(200), "doc_id long, text string, lang string, score string")
+    features = language.sample_features(docs, F.col("doc_id"), "text", "lang", 50)
+    plain = language.fit(language.sampled_rows(features))
+
+    def refused(*_):
+        raise AssertionError("the sample came to the driver")
+
+    monkeypatch.setattr(language, "sampled_rows", refused)
+    got = language.train_language_model(docs, F.col("doc_id"), per_language=50)
+    assert got.languages == plain.languages
+    assert np.allclose(got.scores, plain.scores, rtol=1e-4, atol=1e-6) and np.allclose(got.bias, plain.bias, rtol=1e-4, atol=1e-6)
+    assert np.isclose(got.temperature, plain.temperature) and np.isclose(got.threshold, plain.threshold)
+
+
+def test_counts_of_the_sample_take_as_many_bytes_as_they_need(spark):
+    rows = [(1, "lo mi", "aa"), (2, "lo mi " * 300, "aa"), (3, "lo mi " * 70000, "aa"), (4, "a", "aa")]
+    features = language.sample_features(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.col("doc_id"), "text", "lang", 9)
+    got = sorted(language.sampled_rows(features), key=lambda r: len(r["counts"]))
+    assert [len(r["counts"]) // max(1, len(r["buckets"]) // 2) for r in got] == [0, 1, 2, 4]
+    for r, (_, text, _) in zip(got, sorted(rows, key=lambda r: len(r[1])), strict=True):
+        found, _ = language.subwords(*language.flat(pa.array([text])))
+        c = np.bincount(found, minlength=language.BUCKETS).astype(np.float32)
+        assert np.allclose(language.dense([r], 0, 1)[0], c / (c.sum() + language.PRIOR))

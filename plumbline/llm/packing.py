@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.ranks import block_offsets, hash_block, rank_in_blocks, sub_blocks
-from plumbline.llm.shared import checkpointed
+from plumbline.llm.shared import batches_of, checkpointed
 from plumbline.llm.text import chunks
 from plumbline.llm.tokens import BytePairEncoder
 
@@ -21,6 +21,7 @@ STEP = 0.25
 SHARPNESS = 8.0
 PASSES_PER_LENGTH = 3
 ENCODE_BYTES = 1 << 19  # encoding holds some sixty bytes for each byte of text
+BATCH_BYTES = 4 * ENCODE_BYTES
 
 
 def price(values: np.ndarray, capacity: int) -> np.ndarray:
@@ -173,7 +174,8 @@ def pack_documents(
     Returns one row per piece. Repeated rows are documents of their own and are
     packed each; other columns are ignored. An empty table gives no rows.
     """
-    pieces = checkpointed(pieces_of(docs, tokenizer, id_col, text_col, capacity))
+    with batches_of(docs.sparkSession, BATCH_BYTES):
+        pieces = checkpointed(pieces_of(docs, tokenizer, id_col, text_col, capacity))
     histogram = np.zeros(capacity + 1, np.int64)
     for length, n in pieces.groupBy("length").count().collect():
         histogram[length] = n

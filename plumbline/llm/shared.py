@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from plumbline.sources.scratch import shared_folder
 
 PRUNE_BUCKETS = 1 << 16
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -28,6 +31,21 @@ def use_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(folder)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, size: int) -> Iterator[None]:
+    """What runs inside gets its rows in Arrow batches of about ``size`` bytes, one row at least.
+
+    By default a batch has up to 10,000 rows and 64 MB, which the JVM and the
+    Python worker of a task each hold once or twice.
+    """
+    before = spark.conf.get(BATCH_CONF, "64m")
+    spark.conf.set(BATCH_CONF, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_CONF, before)
+
+
 def bucket_of(key: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 

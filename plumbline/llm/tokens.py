@@ -16,7 +16,7 @@ LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 4
 WHITE = (9, 10, 11, 12, 13, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 
-KNOWN_WORDS = 1 << 19  # with their ids some twenty-five megabytes
+KNOWN_WORDS = 1 << 19  # with their ids some twenty megabytes
 KNOWN_IDS = 1 << 21
 SENT_BYTES = 1 << 16  # the tokenizer holds some hundreds of bytes for each id it returns
 APART = 10  # no printable character, so it stands for no byte
@@ -43,12 +43,14 @@ class BytePairEncoder:
         self.words.pre_tokenizer = CharDelimiterSplit(chr(APART))
         self.letters = np.array([ord(c) for _, c in sorted(byte_letters().items())], "<u4")
         self.kind = np.zeros(0x110000, np.uint8)
-        self.number = mix(np.arange(1, 0x110001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        self.number = np.arange(1, 0x110001, dtype=np.uint64)
+        for block in np.split(self.number, range(1 << 16, 0x110000, 1 << 16)):  # in place, as copies of the whole would stay with the worker
+            block[:] = mix(block * np.uint64(0x9E3779B97F4A7C15))
         self.forget()
 
     def forget(self) -> None:
         """Hashes of known words in order, where the ids of each begin in ``ids``, and how many they are."""
-        self.known, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.known, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
 
     def kinds(self, points: np.ndarray) -> np.ndarray:

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from plumbline.llm import tokens
+from plumbline.llm import packing, tokens
 from plumbline.llm.packing import fractional, pack_documents, plan
 from plumbline.llm.tokens import BytePairEncoder
 
@@ -131,3 +131,26 @@ def test_packs_all_tokens(spark, reference):
 def test_nothing_to_pack(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert pack_documents(docs, PATH).collect() == []
+
+
+def test_workers_get_small_batches(spark, monkeypatch):
+    """Fifteen megabytes of texts in one partition come to the encoder in batches of about BATCH_BYTES; the session's setting stays."""
+    plain, most = packing.chunks, 2 * packing.BATCH_BYTES
+
+    def checked(batches, text, size):
+        def small():
+            for batch in batches:
+                assert batch.nbytes <= most, batch.nbytes
+                yield batch
+
+        return plain(small(), text, size)
+
+    monkeypatch.setattr(packing, "chunks", checked)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.range(3000).selectExpr("id as doc_id", "repeat('word ', 1000) as text").coalesce(1)
+    pack_documents(docs, PATH)
+    assert spark.conf.get(name) == before
+    with pytest.raises(RuntimeError), packing.batches_of(spark, 1 << 20):
+        raise RuntimeError
+    assert spark.conf.get(name) == before

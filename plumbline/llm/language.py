@@ -28,6 +28,7 @@ EMBED_RATE = 100.0
 REJECT_SHARE = 0.001
 REJECT_BELOW = 0.5
 NO_LANGUAGE = "und"
+TEXT_BYTES = 1 << 18  # n-grams take over a hundred bytes for each byte of text
 
 _LETTERS = np.zeros(256, bool)
 _LETTERS[65:91] = _LETTERS[97:123] = True
@@ -102,7 +103,7 @@ def sample_features(docs: DataFrame, key: Column, text_col: str, lang_col: str,
     )
 
     def run(batches):
-        for part in chunks(batches, TEXT):
+        for part in chunks(batches, TEXT, TEXT_BYTES):
             data, at = flat(part.column(TEXT))
             buckets, row = subwords(data, at)
             keys, n = np.unique(row.astype(np.int64) * BUCKETS + buckets, return_counts=True)
@@ -247,10 +248,13 @@ def predict_languages(docs: DataFrame, model: LanguageModel, keep: list[str] | N
 
     keep = [c for c in (docs.columns if keep is None else keep) if c not in OWN.names]
     letters = F.coalesce(F.col(f"`{text_col}`").rlike(r"\p{L}"), F.lit(False))
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), letters.alias("letters"), F.col(f"`{text_col}`").alias("text"))
-    found = with_measures(inner, "text", ["row", "letters"], OWN, measure)
+    others = [c for c in keep if c != text_col]
+    row = [F.struct(*[F.col(f"`{c}`") for c in others]).alias("row")] if others else []
+    inner = docs.select(*row, letters.alias("letters"), F.col(f"`{text_col}`").alias("text"))
+    carried = ["row"] * bool(others) + ["letters"] + ["text"] * (text_col in keep)
+    found = with_measures(inner, "text", carried, OWN, measure, TEXT_BYTES)
     return found.select(
-        *[F.col(f"row.`{c}`").alias(c) for c in keep],
+        *[F.col("text" if c == text_col else f"row.`{c}`").alias(c) for c in keep],
         F.when(F.col("letters"), F.col("lang_pred")).otherwise(NO_LANGUAGE).alias("lang_pred"),
         F.when(F.col("letters"), F.col("score")).otherwise(0.0).alias("score"),
         (F.col("rejected") | ~F.col("letters")).alias("rejected"),

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.llm import language
+from plumbline.llm import arrow, language
 
 SYLLABLES = {"aa": ["ka", "lo", "mi", "tu"], "bb": ["sch", "öt", "ung", "er"], "cc": ["ción", "que", "los", "ar"]}
 
@@ -103,3 +103,31 @@ def test_counts_of_the_sample_take_as_many_bytes_as_they_need(spark):
         found, _ = language.subwords(*language.flat(pa.array([text])))
         c = np.bincount(found, minlength=language.BUCKETS).astype(np.float32)
         assert np.allclose(language.dense([r], 0, 1)[0], c / (c.sum() + language.PRIOR))
+
+
+def test_workers_hold_little(spark, model, monkeypatch):
+    """Texts go to the worker once, and n-grams are made of a quarter of a megabyte at a time; results and columns stay."""
+    docs = spark.range(600).selectExpr("id as doc_id", "'x' as source", "repeat('öt ung ', 600) as text", "id % 7 as n").coalesce(1)
+    whole = language.predict_languages(docs, model).collect()
+    plain, cut, most = language.subwords, arrow.chunks, 1 << 18
+
+    def small(data, at):
+        assert len(data) <= most, len(data)
+        return plain(data, at)
+
+    def once(batches, text, size):
+        def seen():
+            for batch in batches:
+                assert text == "text" and batch.nbytes < 1.5 * batch.column(text).nbytes
+                yield batch
+
+        return cut(seen(), text, size)
+
+    monkeypatch.setattr(language, "subwords", small)
+    monkeypatch.setattr(arrow, "chunks", once)
+    found = language.predict_languages(docs, model)
+    assert found.columns == [*docs.columns, "lang_pred", "score", "rejected"]
+    assert found.collect() == whole and len(whole) == 600
+    assert language.predict_languages(docs, model, keep=["text"]).columns == ["text", "lang_pred", "score", "rejected"]
+    monkeypatch.undo()
+    assert language.predict_languages(docs, model, keep=["text"]).first().text == whole[0].text
